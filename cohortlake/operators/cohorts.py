@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cohortlake.functions.expressions import counted_procedure
 from cohortlake.functions.skew import broadcast_if_small, left_join_known
-from cohortlake.operators.conditions import Condition, add_flags, code_masks
+from cohortlake.operators.conditions import Condition, add_flags, code_masks, expand_patterns
 from cohortlake.operators.records_ip import not_well_baby
 
 MEMBER = ["fyear", "provider", "epikey"]
@@ -94,27 +94,7 @@ def members(df: DataFrame, type: str, strategy: str, rate: Column | float = 1.0)
     return df.select(*MEMBER, F.lit(type).alias("type"), F.lit(strategy).alias("strategy"), rate.alias("sample_rate"))
 
 
-# --- patterns against codes ----------------------------------------------------------------------
-
-
-def expand_patterns(codes: DataFrame, code: str, rules: Sequence[Mapping], pattern: str = "pattern") -> DataFrame:
-    """Each distinct code with the fields of every rule whose anchored pattern it matches.
-
-    The rules are a short parameter, held as one literal array and filtered per distinct code, so the
-    records themselves are joined on equality.
-    """
-    fields = [f for f in rules[0] if f != pattern]
-    literal = F.array(
-        *[F.struct(*[F.lit(r[f]).alias(f) for f in (pattern, *fields)]) for r in rules]
-    )
-    matched = F.filter(literal, lambda r: F.rlike(F.col(code), F.concat(F.lit("^("), r[pattern], F.lit(")"))))
-    return (
-        codes.select(code)
-        .filter(F.col(code).isNotNull())
-        .distinct()
-        .select(code, F.inline(matched))
-        .select(code, *fields)
-    )
+# --- cohorts with attributable fractions ---------------------------------------------------------
 
 
 OPEN_AGE = 120

@@ -9,7 +9,7 @@ not once per record; matches become bits, and a record's codes are or-ed into a
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -95,15 +95,38 @@ def leaves(condition: Condition) -> Iterable[Condition]:
             yield condition
 
 
+def expand_patterns(codes: DataFrame, code: str, rules: Sequence[Mapping], pattern: str = "pattern") -> DataFrame:
+    """Each distinct code with the fields of every rule whose anchored pattern it matches.
+
+    The rules are a short parameter, held as one literal array and filtered per distinct code, so the
+    records themselves are joined on equality.
+    """
+    fields = [f for f in rules[0] if f != pattern]
+    literal = F.array(
+        *[
+            F.struct(F.lit(starts_with_any(r[pattern])).alias(pattern), *[F.lit(r[f]).alias(f) for f in fields])
+            for r in rules
+        ]
+    )
+    matched = F.filter(literal, lambda r: F.rlike(F.col(code), r[pattern]))
+    return (
+        codes.select(code)
+        .filter(F.col(code).isNotNull())
+        .distinct()
+        .select(code, F.inline(matched))
+        .select(code, *fields)
+    )
+
+
 def code_masks(codes: DataFrame, code: str, patterns: Sequence[str]) -> DataFrame:
     """Distinct codes that match at least one pattern, with bit i of columns m0, m1, ... for pattern i."""
-    groups = [patterns[i : i + BITS] for i in range(0, len(patterns), BITS)]
-    masks = []
-    for g, group in enumerate(groups):
-        bits = [F.when(F.col(code).rlike(p), F.lit(1 << i)).otherwise(F.lit(0)) for i, p in enumerate(group)]
-        masks.append(reduce(lambda a, b: a.bitwiseOR(b), bits).cast("long").alias(f"m{g}"))
-    matched = codes.select(code).filter(F.col(code).isNotNull()).distinct().select(code, *masks)
-    return matched.filter(reduce(lambda a, b: a | b, [F.col(f"m{g}") != 0 for g in range(len(groups))]))
+    rules = [{"pattern": p, "group": i // BITS, "bit": i % BITS} for i, p in enumerate(patterns)]
+    matched = expand_patterns(codes, code, rules).withColumn("_mask", F.expr("shiftleft(1L, bit)"))
+    masks = [
+        F.coalesce(F.bit_or(F.when(F.col("group") == g, F.col("_mask"))), F.lit(0).cast("long")).alias(f"m{g}")
+        for g in range((len(patterns) + BITS - 1) // BITS)
+    ]
+    return matched.groupBy(code).agg(*masks)
 
 
 def _record_masks(children: DataFrame, code: str, order: str, kind: str, patterns: Sequence[str]) -> DataFrame:
