@@ -7,16 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortlake.functions.materialise import materialise
+
 SMALL_ROWS = 200_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     """Mark a lookup for broadcast once its row count is known to be within `max_rows`.
 
-    The lookup is persisted, so it is computed once for the count and the join. Above the bound it is
-    returned unmarked, and Spark picks a shuffled join (with skew splitting by AQE).
+    The lookup is materialised first, so it is computed once for the count and the join. Above the
+    bound it is returned unmarked, and Spark picks a shuffled join (with skew splitting by AQE).
     """
-    df = df.persist()
+    df = materialise(df)
     if df.count() <= max_rows:
         return F.broadcast(df)
     return df

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlake.functions.expressions import counted_procedure
+from cohortlake.functions.materialise import materialise
 from cohortlake.functions.skew import broadcast_if_small, left_join_known
 from cohortlake.operators.conditions import Condition, add_flags, code_masks, expand_patterns
 from cohortlake.operators.records_ip import not_well_baby
@@ -208,7 +209,7 @@ def frailty_scores(spells: DataFrame, all_spells: DataFrame, diagnoses: DataFram
     people = all_spells.filter(F.col("last_episode_in_spell") & F.col("person_id_deid").isNotNull()).select(
         "epikey", F.col("person_id_deid").alias("person_id"), "disdate"
     )
-    coded = scored.join(people, "epikey")
+    coded = materialise(scored.join(people, "epikey"))
 
     ends = coded.select("person_id", "icd10", "points", F.unix_date("disdate").alias("day")).distinct()
     following = Window.partitionBy("person_id", "icd10").orderBy("day")
