@@ -7,17 +7,22 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the session's `spark.checkpoint.dir`; only a local session without one gets a folder of its own."""
+def scratch_folder(spark: SparkSession) -> str:
+    """Shared folder for intermediate tables: the session's `spark.checkpoint.dir`.
+
+    Only a local session without one gets a folder of its own.
+    """
     context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isDefined():
-        return
+    current = context._jsc.sc().getCheckpointDir()
+    if current.isDefined():
+        return current.get()
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="checkpoint-")
     context.setCheckpointDir(folder)
+    return context._jsc.sc().getCheckpointDir().get()
 
 
 def materialise(df: DataFrame) -> DataFrame:
@@ -25,5 +30,5 @@ def materialise(df: DataFrame) -> DataFrame:
 
     The plan is cut there, and the loss of an executor later does not cause a recomputation.
     """
-    ensure_checkpoint_dir(df.sparkSession)
+    scratch_folder(df.sparkSession)
     return df.checkpoint()
