@@ -97,11 +97,11 @@ def _(v):
 
 
 def ae_cells(v, g):
-    return inp.family_age_sex(inp.ae_families(v.ae), g)
+    return inp.ae_age_sex(v.ae, g)
 
 
 def op_cells(v, g):
-    return inp.family_age_sex(inp.op_families(v.op), g)
+    return inp.op_age_sex(v.op, g)
 
 
 def ip_cells(v, g):

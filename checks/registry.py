@@ -23,7 +23,7 @@ def check(name: str, oracle: str | None = None):
             raise ValueError(f"query registered twice: {name}")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return plain(build(Views(spark, sf_dir)))
+            return plain(build(Views.of(spark, sf_dir)))
 
         QUERIES[name] = run
         if oracle is not None:

@@ -12,11 +12,10 @@ so that the years are those the rules speak of.
 from __future__ import annotations
 
 import re
-from functools import cached_property
-
 from pyspark.sql import DataFrame, SparkSession
 
 from checks.profiles import PROFILE_COUNT, PROFILES, values_sql
+from cohortlake.functions.materialise import materialise
 
 BASE_TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -546,9 +545,26 @@ def with_views(sql: str) -> str:
     return f"WITH {body}\n{sql}"
 
 
+# views that stand for stored tables: written once per session, then read like any other table
+STORED = {
+    "v_apc", "v_dx", "v_px", "v_ip", "v_cohort", "v_opa", "v_opa_dx", "v_opa_px", "v_op", "v_aae", "v_ecds", "v_ae",
+    "v_pop_lad", "v_pop_provider", "v_proj", "v_split",
+}
+
+
 class Views:
     """The views as DataFrames over one directory of the given tables."""
 
+    _sessions: dict[tuple[str, str], Views] = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> Views:
+        """The views of this application and directory."""
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in cls._sessions:
+            cls._sessions[key] = cls(spark, sf_dir)
+        return cls._sessions[key]
+
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
         self.sf_dir = sf_dir
@@ -566,5 +582,7 @@ class Views:
             else:
                 text = VIEWS[name]
                 frame = self.spark.sql(text, **{d: self[d] for d in dependencies(text)})
+                if name in STORED:
+                    frame = materialise(frame)
             self._frames[name] = frame
         return self._frames[name]

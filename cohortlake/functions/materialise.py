@@ -1,8 +1,9 @@
-"""Results that several later steps read are computed once and written to the checkpoint folder."""
+"""Results that several later steps read are computed once and written to the shared scratch folder."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,9 +27,13 @@ def scratch_folder(spark: SparkSession) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Compute now, write to the shared checkpoint folder, and go on from the written rows.
+    """Compute now, write to the shared folder as a table, and go on from the written rows.
 
-    The plan is cut there, and the loss of an executor later does not cause a recomputation.
+    The plan is cut there, the loss of an executor later does not cause a recomputation, readers
+    take only the columns they need, and Spark knows the size when it picks a join. The folder is
+    the cluster's scratch space; its clean-up is left to the cluster.
     """
-    scratch_folder(df.sparkSession)
-    return df.checkpoint()
+    spark = df.sparkSession
+    path = f"{scratch_folder(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

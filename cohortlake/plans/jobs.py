@@ -139,8 +139,8 @@ def model_inputs(spark: SparkSession, tables: Tables, geography: str) -> None:
     codes = tables.built(spark, "day_procedure_codes")
 
     ip_cells = inputs.ip_age_sex(ip, cohorts, geography)
-    op_cells = inputs.family_age_sex(inputs.op_families(op), geography)
-    ae_cells = inputs.family_age_sex(inputs.ae_families(ae), geography)
+    op_cells = inputs.op_age_sex(op, geography)
+    ae_cells = inputs.ae_age_sex(ae, geography)
     rates = [
         inputs.ae_rates(ae_cells, population, geography),
         inputs.avoidance_rates(ip_cells, people, population, geography),
