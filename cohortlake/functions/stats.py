@@ -20,8 +20,12 @@ def t_two_sided(t: Column, df: Column) -> Column:
     return F.when(df == 1, one).when(df == 2, two).when(df == 3, three)
 
 
-def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray, steps: int = 500) -> np.ndarray:
-    """Continued fraction of the incomplete beta function (modified Lentz), element-wise."""
+def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Continued fraction of the incomplete beta function (modified Lentz), element-wise.
+
+    It converges in about the square root of the larger parameter.
+    """
+    steps = 500 + int(10 * math.sqrt(float(np.max(np.maximum(a, b)))))
     tiny = 1e-300
     guard = lambda v: np.where(np.abs(v) < tiny, tiny, v)
     c = np.ones_like(x)
@@ -45,7 +49,7 @@ def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray, steps: int = 500
 def binomial_upper_tail(k: np.ndarray, n: np.ndarray, p: float) -> np.ndarray:
     """P(X >= k) for X ~ Binomial(n, p), as the incomplete beta function I_p(k, n - k + 1).
 
-    The cost does not grow with n, so counts of any size are fine.
+    The cost grows with the square root of n at most, so counts of any size are fine.
     """
     k = np.asarray(k, dtype=float)
     n = np.asarray(n, dtype=float)

@@ -39,7 +39,7 @@ def read_smoking_rules(spark: SparkSession, path: str, limit: int = 5000) -> lis
 
 def read_json(spark: SparkSession, path: str) -> Mapping:
     """A short JSON rule file, from any file system Spark can read."""
-    return json.loads(spark.read.option("wholetext", "true").text(path).first()["value"])
+    return json.loads(spark.read.text(path, wholetext=True).first()["value"])
 
 
 def read_alcohol_rules(spark: SparkSession, path: str, group: str) -> list[dict]:
