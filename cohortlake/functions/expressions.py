@@ -13,6 +13,14 @@ def starts_with_any(*patterns: str) -> str:
     return f"^({'|'.join(patterns)})"
 
 
+def sql_literal(value: str | int | float) -> str:
+    """A value as SQL text."""
+    if isinstance(value, str):
+        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+        return f"'{escaped}'"
+    return f"{value!r}D" if isinstance(value, float) else str(value)
+
+
 def flag(condition: Column) -> Column:
     """A condition as a boolean that is never null (null counts as false)."""
     return F.coalesce(condition, F.lit(False))

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlake.functions.expressions import counted_procedure
+from cohortlake.functions.expressions import counted_procedure, sql_literal
 from cohortlake.functions.materialise import materialise
 from cohortlake.functions.skew import broadcast_if_small, left_join_known
 from cohortlake.operators.conditions import Condition, add_flags, code_masks, expand_patterns
@@ -78,14 +78,11 @@ def tag(spells: DataFrame, diagnoses: DataFrame, procedures: DataFrame, rules: R
     """Membership of every rule, from one scan of the spells and one of each code table."""
     listed = list(rules)
     flagged = add_flags(spells, diagnoses, procedures, [r.condition for r in listed])
-    matched = F.array_compact(
-        F.array(
-            *[
-                F.when(F.col(f"_c{i}"), F.struct(F.lit(r.type).alias("type"), F.lit(r.strategy).alias("strategy")))
-                for i, r in enumerate(listed)
-            ]
-        )
-    )
+    rows = [
+        f"CASE WHEN _c{i} THEN struct({sql_literal(r.type)} AS type, {sql_literal(r.strategy)} AS strategy) END"
+        for i, r in enumerate(listed)
+    ]
+    matched = F.expr(f"array_compact(array({', '.join(rows)}))")
     return flagged.select(*MEMBER, F.inline(matched)).withColumn("sample_rate", F.lit(1.0))
 
 

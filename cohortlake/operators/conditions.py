@@ -13,10 +13,10 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.functions.expressions import starts_with_any
+from cohortlake.functions.expressions import sql_literal, starts_with_any
 from cohortlake.functions.skew import broadcast_if_small
 
 BITS = 62
@@ -102,12 +102,13 @@ def expand_patterns(codes: DataFrame, code: str, rules: Sequence[Mapping], patte
     records themselves are joined on equality.
     """
     fields = [f for f in rules[0] if f != pattern]
-    literal = F.array(
-        *[
-            F.struct(F.lit(starts_with_any(r[pattern])).alias(pattern), *[F.lit(r[f]).alias(f) for f in fields])
-            for r in rules
-        ]
-    )
+    structs = [
+        "struct("
+        + ", ".join([f"{sql_literal(starts_with_any(r[pattern]))} AS {pattern}", *[f"{sql_literal(r[f])} AS {f}" for f in fields]])
+        + ")"
+        for r in rules
+    ]
+    literal = F.expr(f"array({', '.join(structs)})")
     matched = F.filter(literal, lambda r: F.rlike(F.col(code), r[pattern]))
     return (
         codes.select(code)
@@ -170,23 +171,22 @@ def add_flags(
         df = df.join(procedures.select("epikey").distinct().withColumn("_px_ever", F.lit(True)), "epikey", "left")
         added.append("_px_ever")
 
-    def evaluate(condition: Condition) -> Column:
+    def render(condition: Condition) -> str:
         match condition:
             case Has(kind, position, pattern):
                 group, bit = divmod(patterns[kind].index(pattern), BITS)
-                mask = F.coalesce(F.col(f"{kind}_{position}_{group}"), F.lit(0).cast("long"))
-                return mask.bitwiseAND(F.lit(1 << bit)) != 0
+                return f"((coalesce({kind}_{position}_{group}, 0L) & {1 << bit}L) != 0L)"
             case NoProcedure(same_year):
-                return F.col("_px_year" if same_year else "_px_ever").isNull()
+                return f"({'_px_year' if same_year else '_px_ever'} IS NULL)"
             case Where(sql):
-                return F.expr(sql)
+                return f"({sql})"
             case Not(part):
-                return ~evaluate(part)
+                return f"(NOT {render(part)})"
             case All(parts):
-                return reduce(lambda a, b: a & b, [evaluate(p) for p in parts])
+                return "(" + " AND ".join(map(render, parts)) + ")"
             case AnyOf(parts):
-                return reduce(lambda a, b: a | b, [evaluate(p) for p in parts])
+                return "(" + " OR ".join(map(render, parts)) + ")"
         raise TypeError(condition)
 
-    flags = [F.coalesce(evaluate(c), F.lit(False)).alias(f"{prefix}{i}") for i, c in enumerate(conditions)]
+    flags = [F.expr(f"coalesce({render(c)}, false)").alias(f"{prefix}{i}") for i, c in enumerate(conditions)]
     return df.select(*spells.columns, *flags)
