@@ -16,7 +16,12 @@ from cohortlake.sources.sinks import build_if_absent, replace_partitions, write_
 ATTENDANCE = ("fyear", "provider")
 
 
-def reference_data(spark: SparkSession, tables: Tables) -> None:
+def reference_data(
+    spark: SparkSession,
+    tables: Tables,
+    mappings: int = reference.EXPECTED_MAPPINGS,
+    districts: int = reference.EXPECTED_DISTRICTS,
+) -> None:
     """Trusts, area lookups, populations, main ICBs and catchments."""
     orgs, edges = tables.read(spark, "orgs"), tables.read(spark, "org_edges")
     types = reference.latest_per_key(tables.read(spark, "org_types"), "org_code", "fyear")
@@ -31,7 +36,7 @@ def reference_data(spark: SparkSession, tables: Tables) -> None:
             reference.chain_lookup(tables.read(spark, "lsoa11_lsoa21"), tables.read(spark, "lsoa21_lad23"))
         ),
     )
-    reference.assert_mapping(areas, "lsoa11cd", "lad23cd")
+    reference.assert_mapping(areas, "lsoa11cd", "lad23cd", mappings, districts)
     population = build_if_absent(
         spark,
         tables.path("population_lad23"),
