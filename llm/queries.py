@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["op6_simhash"]
+MODULES = ["op3_bpe", "op5_decontaminate", "op6_simhash"]
 
 QUERIES: dict = {}
 ORACLES: dict = {}

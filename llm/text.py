@@ -39,10 +39,6 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
-def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(1 << max(16, int(size).bit_length()))
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """Finalise 64-bit hashes so that every bit depends on all others."""
     h = h ^ (h >> np.uint64(33))
@@ -52,14 +48,25 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
+#: Symbols that `span_hashes` sums up at a time.
+_STRETCH = 1 << 19
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span data[start:end]."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    up, down = powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    """64-bit hash of each span data[start:end]; starts and ends must not fall."""
+    out = np.zeros(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        low = int(starts[i])
+        j = max(i + 1, int(np.searchsorted(ends, low + _STRETCH, side="right")))
+        s, e = starts[i:j] - low, ends[i:j] - low
+        size = int(e[-1])
+        up, down = _powers(1 << max(16, size.bit_length()))
+        sums = np.zeros(size + 1, np.uint64)
+        np.cumsum((data[low : low + size].astype(np.uint64) + np.uint64(1)) * up[:size], out=sums[1:])
+        out[i:j] = (sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64)
+        i = j
+    return mix(out)
 
 
 @dataclass
