@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["op3_bpe", "op5_decontaminate", "op6_simhash"]
+MODULES = ["op2_lines", "op3_bpe", "op5_decontaminate", "op6_simhash", "op8_toxicity"]
 
 QUERIES: dict = {}
 ORACLES: dict = {}
