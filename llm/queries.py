@@ -4,7 +4,17 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["op2_lines", "op3_bpe", "op5_decontaminate", "op6_simhash", "op8_toxicity"]
+MODULES = [
+    "op1_html",
+    "op2_lines",
+    "op3_bpe",
+    "op5_decontaminate",
+    "op6_simhash",
+    "op7_language",
+    "op8_toxicity",
+    "op9_embeddings",
+    "op10_substrings",
+]
 
 QUERIES: dict = {}
 ORACLES: dict = {}
