@@ -8,6 +8,7 @@ MODULES = [
     "op1_html",
     "op2_lines",
     "op3_bpe",
+    "op4_hmm",
     "op5_decontaminate",
     "op6_simhash",
     "op7_language",
