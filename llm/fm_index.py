@@ -17,7 +17,7 @@ def suffix_order(symbols: np.ndarray, separators: np.ndarray) -> np.ndarray:
     packed, depth = np.zeros(n, np.int64), 0
     while (depth + 1) * bits <= 62:
         packed <<= bits
-        packed[: n - depth] |= first[depth:]
+        packed[: max(0, n - depth)] |= first[depth:]
         depth += 1
     order = np.argsort(packed, kind="stable")
     key = packed[order]
