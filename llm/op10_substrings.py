@@ -94,8 +94,12 @@ def _occurrences(docs: DataFrame, doc: str, text: str, mark: str) -> DataFrame:
                     part.column(doc), "ascending", null_placement="at_start", tiebreaker="dense"
                 ).to_numpy()
                 order = np.lexsort((place, ranks[row], digest))
+                same = np.zeros(len(order), bool)
+                same[1:] = digest[order[1:]] == digest[order[:-1]]
+                head = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
+                twin = (ranks[row[order]] == ranks[row[head]]) & (place[order] == place[head])
                 settled = np.zeros(len(order), bool)
-                settled[order[1:]] = digest[order[1:]] == digest[order[:-1]]
+                settled[order[same & ~twin]] = True
                 digest = np.where(settled, mix(digest ^ place.astype(np.uint64)), digest)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -117,17 +121,26 @@ def repeated_chunks(docs: DataFrame, doc: str, text: str, mark: str) -> DataFram
     kind = rows.schema["doc"].dataType.simpleString()
 
     def run(batches):
-        last = None
+        first = None  # the first row of the digest that the last batch ended in
         for batch in batches:
             if not batch.num_rows:
                 continue
-            digest = batch.column("digest").to_numpy()
-            settled = batch.column("settled").to_numpy(zero_copy_only=False)
-            again = np.zeros(len(digest), bool)
-            again[1:] = digest[1:] == digest[:-1]
-            again[0] = last is not None and digest[0] == last
-            last = digest[-1]
-            yield batch.select(["doc", "place"]).filter(pa.array(again | settled))
+            part = batch if first is None else pa.Table.from_batches([first, batch]).combine_chunks().to_batches()[0]
+            digest = part.column("digest").to_numpy()
+            settled = part.column("settled").to_numpy(zero_copy_only=False)
+            new = np.ones(len(digest), bool)
+            new[1:] = digest[1:] != digest[:-1]
+            head = np.maximum.accumulate(np.where(new, np.arange(len(digest)), 0))
+            # equal rows of the table are one: they don't repeat each other
+            doc, place = part.column("doc"), part.column("place").to_numpy()
+            other = doc.take(pa.array(head))
+            twin = pa.compute.fill_null(pa.compute.equal(doc, other), False).to_numpy(zero_copy_only=False)
+            twin |= (doc.is_null().to_numpy(zero_copy_only=False)) & (other.is_null().to_numpy(zero_copy_only=False))
+            twin &= place == place[head]
+            again = settled | ~twin
+            again[: 0 if first is None else 1] = False
+            first = part.slice(int(head[-1]), 1)
+            yield part.select(["doc", "place"]).filter(pa.array(again))
 
     return dealt.mapInArrow(run, f"doc {kind}, place bigint")
 
