@@ -7,11 +7,27 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortlake.functions.materialise import materialise
+from cohortlake.functions import materialise as shared
+
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 __all__ = ["crc_part", "materialise", "own", "table"]
 
 
+def materialise(df: DataFrame) -> DataFrame:
+    """Write `df` to the shared scratch folder and go on from the written rows.
+
+    The shuffle files of the job are released when it ends, as nothing reads them again.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP)
+    conf.set(CLEANUP, "true")
+    try:
+        return shared.materialise(df)
+    finally:
+        conf.set(CLEANUP, before)
+
+
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from llm.bits import may_need, needed
 from llm.frames import materialise, own, table
 from llm.text import IS_SPACED_WORD, mix, string_buffers, weigh, words
 
@@ -28,9 +29,11 @@ SIMILAR = (4, 5)
 BUCKET_BITS = 22
 BLOCK_BITS = 16
 BATCH_BYTES = 2 << 20
-#: Lines of one word compared in one task, and candidates after which a look-up stops.
+#: Lines of one word compared in one task, and candidates (near certain, any) after which a look-up stops.
 PIECE = 8192
-ENOUGH = 3
+ENOUGH = (2, 64)
+#: Differing words up to which the 64-bit bitmaps of unrelated sets are nearly always further apart.
+SURE = 16
 NEWLINE = 0x0A
 
 
@@ -100,10 +103,25 @@ class Counts:
         return Counts(np.minimum(counts, 2**32 - 1).astype(np.uint32))
 
 
+def rarity_order(hashes: np.ndarray, line: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Order by line, rarity and hash. Rarity is the count to a 64th of its magnitude, so that all three fit one sort key.
+
+    Ties between different hashes of a line would hide repeated words; a batch that has one is sorted in full.
+    """
+    rarity = (np.log2(weight + 1) * 64).astype(np.uint64)
+    if len(line) and int(line[-1]) < 1 << 20:
+        key = line.astype(np.uint64) << np.uint64(44) | rarity << np.uint64(32) | hashes >> np.uint64(32)
+        order = np.argsort(key)
+        key, sorted_ = key[order], hashes[order]
+        if not ((key[1:] == key[:-1]) & (sorted_[1:] != sorted_[:-1])).any():
+            return order
+    return np.lexsort((hashes, rarity, line))
+
+
 def signatures(hashes: np.ndarray, line: np.ndarray, counts: Counts) -> dict[str, np.ndarray]:
     """Of each line with words: number, set size, digest, parity bitmap, and its prefix words (flat, with their places)."""
     weight = counts.of(hashes)
-    order = np.lexsort((hashes, weight, line))
+    order = rarity_order(hashes, line, weight)
     hashes, line, weight = hashes[order], line[order], weight[order]
     new = np.ones(len(hashes), bool)
     new[1:] = (line[1:] != line[:-1]) | (hashes[1:] != hashes[:-1])
@@ -159,8 +177,10 @@ def _lines(docs: DataFrame, counts, doc: str, text: str, mark: str) -> DataFrame
                 for name in ("digest", "bitmap", "size"):
                     values = sig[name][order]
                     same[1:] &= values[1:] == values[:-1]
+                head = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
+                twin = same & (ranks[row[order]] == ranks[row[head]]) & (place[order] == place[head])
                 later = np.zeros(len(order), bool)
-                later[order[same]] = True
+                later[order[same & ~twin]] = True
                 ends = np.cumsum(sig["tokens"])
                 offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
                 mask = pa.array(later)
@@ -185,9 +205,12 @@ def _lines(docs: DataFrame, counts, doc: str, text: str, mark: str) -> DataFrame
 
 
 def _postings(lines: DataFrame) -> DataFrame:
-    """The first line of each word set, once for each prefix word (and for each pair of pieces, if the word has many lines)."""
+    """The first line of each word set, once for each prefix word (and for each pair of pieces, if the word has many lines).
+
+    `key` is the word's hash, mixed with the pair of pieces; `meta` packs the side in the pair, the set's size and the
+    place of the word. Two words that share a key only meet for nothing.
+    """
     kind = lines.schema["doc"].dataType.simpleString()
-    schema = f"token bigint, cell_a int, cell_b int, side int, doc {kind}, place bigint, size int, at int, bitmap bigint"
     one = lines.where("digest IS NOT NULL").repartition("digest", "bitmap", "size")
     one = one.sortWithinPartitions("digest", "bitmap", "size", "doc", "place")
 
@@ -208,6 +231,7 @@ def _postings(lines: DataFrame) -> DataFrame:
             )
             row = np.repeat(np.arange(len(n)), n)
             digest = part.column("digest").to_numpy().view(np.uint64)
+            size = part.column("size").to_numpy()
             times = pieces.astype(np.int64)
             ends = np.cumsum(times)
             total = int(ends[-1]) if len(ends) else 0
@@ -218,33 +242,34 @@ def _postings(lines: DataFrame) -> DataFrame:
                 other = number - (ends[p] - times[p])
                 piece = (digest[row[p]] % times[p].astype(np.uint64)).astype(np.int64)
                 low, high = np.minimum(piece, other), np.maximum(piece, other)
+                cell = (low << 32 | high).astype(np.uint64)
+                key = np.where(high > 0, mix(token[p].view(np.uint64) ^ mix(cell)), token[p].view(np.uint64))
+                side = np.where(low == high, 0, np.where(piece == high, 2, 1))
                 r = row[p]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(token[p]),
-                        pa.array(low.astype(np.int32)),
-                        pa.array(high.astype(np.int32)),
-                        pa.array(np.where(low == high, -1, (piece == high).astype(np.int64)).astype(np.int32)),
+                        pa.array(key.view(np.int64)),
                         _take(part.column("doc"), r),
                         _take(part.column("place"), r),
-                        _take(part.column("size"), r),
-                        pa.array(at[p]),
+                        pa.array(side << 60 | size[r].astype(np.int64) << 30 | at[p].astype(np.int64)),
                         _take(part.column("bitmap"), r),
                     ],
-                    names=["token", "cell_a", "cell_b", "side", "doc", "place", "size", "at", "bitmap"],
+                    names=["key", "doc", "place", "meta", "bitmap"],
                 )
 
-    return one.mapInArrow(run, schema)
+    return one.mapInArrow(run, f"key bigint, doc {kind}, place bigint, meta bigint, bitmap bigint")
 
 
-def look_back(group: np.ndarray, side: np.ndarray, size: np.ndarray, at: np.ndarray, bitmap: np.ndarray, ask: np.ndarray, enough: int):
+def look_back(group: np.ndarray, meta: np.ndarray, bitmap: np.ndarray, ask: np.ndarray, enough: tuple[int, int]):
     """Pairs `(x, y, more)` of rows of one group, y before x, that pass the filters; only rows `ask` look back.
 
-    A row stops after `enough` pairs; `more` tells that it had others to look at.
+    Where few differences are allowed, the bitmap filter is nearly always right: a row stops after `enough[0]` such pairs, or
+    after `enough[1]` of any kind; `more` tells that it had others to look at.
     """
     top, low = SIMILAR
+    side, size, at = meta >> 60, (meta >> 30) & ((1 << 30) - 1), meta & ((1 << 30) - 1)
     start = np.searchsorted(group, group, side="left")
-    found = np.zeros(len(group), np.int64)
+    sure, found = np.zeros(len(group), np.int64), np.zeros(len(group), np.int64)
     x = np.flatnonzero(ask & (start < np.arange(len(group))))
     out = []
     d = 1
@@ -252,44 +277,42 @@ def look_back(group: np.ndarray, side: np.ndarray, size: np.ndarray, at: np.ndar
         y = x - d
         total = size[x] + size[y]
         overlap = (top * total + top + low - 1) // (top + low)
+        differ = total - 2 * overlap
         ok = low * np.minimum(size[x], size[y]) >= top * np.maximum(size[x], size[y])
-        ok &= 1 + np.minimum(size[x] - at[x], size[y] - at[y]) - 1 >= overlap
-        ok &= np.bitwise_count(bitmap[x] ^ bitmap[y]).astype(np.int64) <= total - 2 * overlap
-        ok &= (side[x] < 0) | (side[x] != side[y])
+        ok &= np.minimum(size[x] - at[x], size[y] - at[y]) >= overlap
+        ok &= np.bitwise_count(bitmap[x] ^ bitmap[y]).astype(np.int64) <= differ
+        ok &= (side[x] == 0) | (side[x] != side[y])
         if ok.any():
             found[x[ok]] += 1
+            sure[x[ok & (differ <= SURE)]] += 1
             out.append((x[ok], y[ok]))
         d += 1
-        x = x[(found[x] < enough) & (x - d >= start[x])]
+        x = x[(sure[x] < enough[0]) & (found[x] < enough[1]) & (x - d >= start[x])]
     if not out:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
     xs, ys = np.concatenate([o[0] for o in out]), np.concatenate([o[1] for o in out])
-    return xs, ys, found[xs] >= enough
+    return xs, ys, (sure[xs] >= enough[0]) | (found[xs] >= enough[1])
 
 
-def _candidates(postings: DataFrame, enough: int, ask: str | None = None) -> DataFrame:
+def _candidates(postings: DataFrame, enough: tuple[int, int], ask: str | None = None) -> DataFrame:
     """Candidate pairs `(doc, place)` with an earlier `(to_doc, to_place)`, and whether the look-up was cut short."""
     kind = postings.schema["doc"].dataType.simpleString()
     schema = f"doc {kind}, place bigint, to_doc {kind}, to_place bigint, more boolean"
-    dealt = postings.repartition("token", "cell_a", "cell_b")
-    dealt = dealt.sortWithinPartitions("token", "cell_a", "cell_b", "doc", "place")
+    dealt = postings.repartition("key").sortWithinPartitions("key")
 
     def flush(rows: pa.Table):
-        columns = {c: rows[c].to_numpy() for c in ("token", "cell_a", "cell_b", "side", "size", "at", "bitmap")}
-        new = np.ones(rows.num_rows, bool)
-        new[1:] = False
-        for c in ("token", "cell_a", "cell_b"):
-            new[1:] |= columns[c][1:] != columns[c][:-1]
-        asks = np.ones(rows.num_rows, bool) if ask is None else rows[ask].to_numpy()
-        x, y, more = look_back(
-            np.cumsum(new),
-            columns["side"],
-            columns["size"].astype(np.int64),
-            columns["at"].astype(np.int64),
-            columns["bitmap"].view(np.uint64),
-            asks,
-            enough,
-        )
+        keys = rows["key"].to_numpy()
+        counts = np.unique(keys, return_counts=True)[1]
+        rows = rows.filter(pa.array(np.repeat(counts > 1, counts)))
+        if not rows.num_rows:
+            return
+        ordered = [("key", "ascending"), ("doc", "ascending"), ("place", "ascending")]
+        rows = rows.take(pa.compute.sort_indices(rows, sort_keys=ordered, null_placement="at_start"))
+        keys = rows["key"].to_numpy()
+        new = np.ones(len(keys), bool)
+        new[1:] = keys[1:] != keys[:-1]
+        asks = np.ones(len(keys), bool) if ask is None else rows[ask].to_numpy()
+        x, y, more = look_back(np.cumsum(new), rows["meta"].to_numpy(), rows["bitmap"].to_numpy().view(np.uint64), asks, enough)
         for begin in range(0, len(x), 1 << 16):
             i, j = x[begin : begin + (1 << 16)], y[begin : begin + (1 << 16)]
             yield pa.RecordBatch.from_arrays(
@@ -312,11 +335,8 @@ def _candidates(postings: DataFrame, enough: int, ask: str | None = None) -> Dat
             if count < 8 * PIECE:
                 continue
             rows = pa.Table.from_batches(held)
-            same = np.ones(rows.num_rows, bool)
-            for c in ("token", "cell_a", "cell_b"):
-                values = rows[c].to_numpy()
-                same &= values == values[-1]
-            cut = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
+            keys = rows["key"].to_numpy()
+            cut = int(np.searchsorted(keys, keys[-1]))
             if cut:
                 yield from flush(rows.slice(0, cut))
                 rows = rows.slice(cut)
@@ -327,27 +347,6 @@ def _candidates(postings: DataFrame, enough: int, ask: str | None = None) -> Dat
     return dealt.mapInArrow(run, schema)
 
 
-def _needed(places: DataFrame, keys: list[str]) -> np.ndarray:
-    """A bit for each of 2**22 buckets of document keys: set if a row of `places` is in it. Half a megabyte at any input size."""
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(1 << 22)) + 1
-    rows = places.select(bucket.alias("b")).groupBy(F.bitmap_bucket_number("b").alias("n")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits")
-    )
-    out = np.zeros(1 << 19, np.uint8)
-    for row in rows.collect():
-        begin = (row["n"] - 1) * 4096
-        out[begin : begin + 4096] = np.frombuffer(row["bits"], np.uint8)
-    return out
-
-
-def _may_need(docs: DataFrame, bits: np.ndarray, keys: list[str], name: str) -> DataFrame:
-    """Append `name`: false only for rows that `_needed` has not seen."""
-    bucket = F.pmod(F.xxhash64(*keys), F.lit(1 << 22)).cast("int")
-    byte = F.substring(F.lit(bytes(bits)), F.shiftright(bucket, 3) + 1, F.lit(1))
-    value = F.conv(F.hex(byte), 16, 10).cast("int")
-    return docs.withColumn(name, F.expr("1") .cast("int") == F.pmod(F.floor(value / F.pow(F.lit(2), F.pmod(bucket, F.lit(8)))), F.lit(2)).cast("int"))
-
-
 def _sets(docs: DataFrame, doc: str, text: str, mark: str) -> DataFrame:
     """The whole word set of every line of `docs`."""
     kind = docs.schema[doc].dataType.simpleString()
@@ -386,8 +385,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, doc: str, text: str, mark: str)
     )
     both = named("doc", "place").unionByName(named("to_doc", "to_place"))
     (flag,) = own("flag")
-    bits = _needed(both, ["doc", "mark"])
-    some = _may_need(docs, bits, keys, flag).where(F.col(flag)).drop(flag)
+    bits = needed(both, ["doc", "mark"])
+    some = may_need(docs, bits, keys, flag).where(F.col(flag)).drop(flag)
     wanted = both.select("doc", "place").distinct()
     sets = _sets(some, doc, text, mark)
     sets = materialise(
@@ -424,7 +423,7 @@ def removed_lines(docs: DataFrame, doc: str, text: str, mark: str) -> DataFrame:
     if not open_.isEmpty():
         asked = postings.alias("p").join(open_.withColumn("ask", F.lit(True)).alias("o"), same("p", "o"), "left")
         asked = asked.select("p.*", F.coalesce("ask", F.lit(False)).alias("ask"))
-        rest = materialise(_candidates(asked, 1 << 60, "ask").drop("more").distinct())
+        rest = materialise(_candidates(asked, (1 << 60, 1 << 60), "ask").drop("more").distinct())
         similar = similar.unionByName(_verified(rest, source, doc, text, mark))
     first = lines.where("digest IS NOT NULL").groupBy("digest", "bitmap", "size").agg(
         F.min(F.struct("doc", "place")).alias("first")
@@ -456,8 +455,8 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_c
         F.collect_set(F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")).alias(drop)
     )
     # Documents that keep all their lines are not shuffled.
-    bits = _needed(lists, [key, mine])
-    flagged = _may_need(marked, bits, [doc_id, mark], flag)
+    bits = needed(lists, [key, mine])
+    flagged = may_need(marked, bits, [doc_id, mark], flag)
     touched = flagged.where(F.col(flag)).join(
         lists, F.col(f"`{doc_id}`").eqNullSafe(F.col(key)) & (F.col(mark) == F.col(mine)), "left"
     )
