@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.bits import may_need, needed
+from llm.bits import bucket_of, may_need, needed
 from llm.frames import materialise, own, table
 from llm.text import IS_SPACED_WORD, mix, span_hashes, string_buffers, weigh
 
@@ -186,7 +186,7 @@ def dedup_substrings(
         )
     )
     # Documents without repeats are not shuffled.
-    flagged = may_need(marked, needed(lists, [key, mine]), [doc_id, mark], flag)
+    flagged = may_need(marked, needed(lists, bucket_of(key, mine)), bucket_of(doc_id, mark), flag)
     same = F.col(f"`{doc_id}`").eqNullSafe(F.col(key)) & (F.col(mark) == F.col(mine))
     touched = flagged.where(F.col(flag)).join(lists, same, "left").drop(key, mine)
 

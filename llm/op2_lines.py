@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.bits import may_need, needed
+from llm.bits import as_array, bucket_of, may_need, needed, test
 from llm.frames import materialise, own, table
 from llm.text import IS_SPACED_WORD, mix, string_buffers, weigh, words
 
@@ -96,11 +96,13 @@ class Counts:
         parts = docs.select(text).mapInArrow(count, schema)
         for keys in (["block", "salt"], ["block"]):
             parts = parts.groupBy(*keys).applyInArrow(add, schema)
-        counts = np.zeros(1 << BUCKET_BITS, np.int64)
+        counts = np.zeros(1 << BUCKET_BITS, np.uint32)
         for row in parts.toLocalIterator():
             begin = row["block"] << BLOCK_BITS
-            counts[begin + np.frombuffer(row["places"], np.uint16).astype(np.int64)] = np.frombuffer(row["counts"], np.int64)
-        return Counts(np.minimum(counts, 2**32 - 1).astype(np.uint32))
+            counts[begin + np.frombuffer(row["places"], np.uint16).astype(np.int64)] = np.minimum(
+                np.frombuffer(row["counts"], np.int64), 2**32 - 1
+            )
+        return Counts(counts)
 
 
 def rarity_order(hashes: np.ndarray, line: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -347,27 +349,66 @@ def _candidates(postings: DataFrame, enough: tuple[int, int], ask: str | None =
     return dealt.mapInArrow(run, schema)
 
 
-def _sets(docs: DataFrame, doc: str, text: str, mark: str) -> DataFrame:
-    """The whole word set of every line of `docs`."""
+#: Buckets of lines and of words: a map of two megabytes.
+FINE = 1 << 24
+
+
+def _line_bucket(place):
+    """Bucket of a line by its text's mark and its number; for columns and for arrays."""
+    if isinstance(place, str):
+        mark, line = F.shiftrightunsigned(place, 32), F.col(place).bitwiseAND(F.lit(0xFFFFFFFF))
+        return F.pmod(mark * 40503 + line * 1000003, F.lit(FINE))
+    return ((place >> 32) * 40503 + (place & 0xFFFFFFFF) * 1000003) % FINE
+
+
+def _only(lines: DataFrame, open_: DataFrame) -> DataFrame:
+    """The signed lines, reduced to the prefix words that a line of `open_` has too."""
+    same = F.col("l.doc").eqNullSafe(F.col("o.doc")) & (F.col("l.place") == F.col("o.place"))
+    words_ = lines.alias("l").join(open_.alias("o"), same, "left_semi").select(F.explode("token").alias("token"))
+    bits = as_array(needed(words_, F.shiftrightunsigned("token", 40)), FINE)
+    sent = lines.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches):
+        for batch in batches:
+            n = pa.compute.list_value_length(batch.column("token")).to_numpy(zero_copy_only=False).astype(np.int64)
+            flat = {c: batch.column(c).flatten() for c in ("token", "at", "pieces")}
+            token = flat["token"].to_numpy(zero_copy_only=False).view(np.uint64)
+            kept = test(sent.value, (token >> np.uint64(40)).astype(np.int64))
+            counts = np.bincount(np.repeat(np.arange(len(n)), n)[kept], minlength=len(n))
+            offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+            fresh = {c: pa.ListArray.from_arrays(offsets, v.filter(pa.array(kept))) for c, v in flat.items()}
+            columns = [fresh.get(c, batch.column(c)) for c in batch.schema.names]
+            out = pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+            yield out.filter(pa.array(counts > 0))
+
+    return lines.where("digest IS NOT NULL").mapInArrow(run, lines.schema)
+
+
+def _sets(docs: DataFrame, doc: str, text: str, mark: str, wanted) -> DataFrame:
+    """The whole word set of the lines of `docs` whose bucket is in `wanted`."""
     kind = docs.schema[doc].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
             for part in weigh([batch], text, BATCH_BYTES):
                 hashes, line, first_line = line_words(part.column(text))
+                marks = part.column(mark).to_numpy(zero_copy_only=False).astype(np.int64)
+                all_lines = np.arange(first_line[-1])
+                row = np.searchsorted(first_line, all_lines, side="right") - 1
+                places = (marks[row] << 32) | (all_lines - first_line[row])
+                kept = test(wanted.value, _line_bucket(places))[line]
+                hashes, line = hashes[kept], line[kept]
                 order = np.lexsort((hashes, line))
                 hashes, line = hashes[order], line[order]
                 new = np.ones(len(hashes), bool)
                 new[1:] = (line[1:] != line[:-1]) | (hashes[1:] != hashes[:-1])
                 hashes, line = hashes[new], line[new]
                 numbers, begin = np.unique(line, return_index=True)
-                row = np.searchsorted(first_line, numbers, side="right") - 1
-                marks = part.column(mark).to_numpy(zero_copy_only=False)
                 offsets = pa.array(np.append(begin, len(line)), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        _take(part.column(doc), row),
-                        pa.array((marks[row].astype(np.int64) << 32) | (numbers - first_line[row])),
+                        _take(part.column(doc), row[numbers]),
+                        pa.array(places[numbers]),
                         pa.ListArray.from_arrays(offsets, pa.array(hashes.view(np.int64))),
                     ],
                     names=["doc", "place", "words"],
@@ -379,16 +420,12 @@ def _sets(docs: DataFrame, doc: str, text: str, mark: str) -> DataFrame:
 def _verified(pairs: DataFrame, docs: DataFrame, doc: str, text: str, mark: str) -> DataFrame:
     """The lines `(doc, place)` of `pairs` that are similar to one of their candidates."""
     top, low = SIMILAR
-    keys = [doc, mark]
-    named = lambda d, p: pairs.select(
-        F.col(d).alias("doc"), F.col(p).alias("place"), F.shiftrightunsigned(p, 32).cast("int").alias("mark")
+    both = pairs.select("doc", "place").unionByName(
+        pairs.select(F.col("to_doc").alias("doc"), F.col("to_place").alias("place"))
     )
-    both = named("doc", "place").unionByName(named("to_doc", "to_place"))
-    (flag,) = own("flag")
-    bits = needed(both, ["doc", "mark"])
-    some = may_need(docs, bits, keys, flag).where(F.col(flag)).drop(flag)
+    bits = docs.sparkSession.sparkContext.broadcast(as_array(needed(both, _line_bucket("place")), FINE))
     wanted = both.select("doc", "place").distinct()
-    sets = _sets(some, doc, text, mark)
+    sets = _sets(docs, doc, text, mark, bits)
     sets = materialise(
         sets.alias("s").join(
             wanted.alias("w"), F.col("s.doc").eqNullSafe(F.col("w.doc")) & (F.col("s.place") == F.col("w.place")), "left_semi"
@@ -421,7 +458,7 @@ def removed_lines(docs: DataFrame, doc: str, text: str, mark: str) -> DataFrame:
         pairs.where("more").select("doc", "place").distinct().alias("o").join(similar.alias("s"), same("o", "s"), "left_anti")
     )
     if not open_.isEmpty():
-        asked = postings.alias("p").join(open_.withColumn("ask", F.lit(True)).alias("o"), same("p", "o"), "left")
+        asked = _postings(_only(lines, open_)).alias("p").join(open_.withColumn("ask", F.lit(True)).alias("o"), same("p", "o"), "left")
         asked = asked.select("p.*", F.coalesce("ask", F.lit(False)).alias("ask"))
         rest = materialise(_candidates(asked, (1 << 60, 1 << 60), "ask").drop("more").distinct())
         similar = similar.unionByName(_verified(rest, source, doc, text, mark))
@@ -455,8 +492,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_c
         F.collect_set(F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")).alias(drop)
     )
     # Documents that keep all their lines are not shuffled.
-    bits = needed(lists, [key, mine])
-    flagged = may_need(marked, bits, [doc_id, mark], flag)
+    flagged = may_need(marked, needed(lists, bucket_of(key, mine)), bucket_of(doc_id, mark), flag)
     touched = flagged.where(F.col(flag)).join(
         lists, F.col(f"`{doc_id}`").eqNullSafe(F.col(key)) & (F.col(mark) == F.col(mine)), "left"
     )
