@@ -130,7 +130,7 @@ def blocks(placed: DataFrame) -> DataFrame:
 
 
 def block_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs of blocks `(a, b)`, a <= b, that may hold linked vectors; found by the cells of their first direction, then by their boxes."""
+    """Pairs of blocks `(dims, a, b)`, a <= b, that may hold linked vectors; found by the cells of their first direction, then by their boxes."""
     ks = range(DIRECTIONS)
     box = rows.groupBy("block", "dims").agg(
         *[F.min(F.col("at")[k]).alias(f"low{k}") for k in ks],
@@ -148,7 +148,7 @@ def block_pairs(rows: DataFrame) -> DataFrame:
     joined = near.join(own, (F.col("a.cell") == F.col("b.cell")) & (F.col("a.dims") == F.col("b.dims")))
     return (
         joined.where((F.col("a.block") <= F.col("b.block")) & (gap <= EPS * EPS))
-        .select(F.col("a.block").alias("a"), F.col("b.block").alias("b"))
+        .select("a.dims", F.col("a.block").alias("a"), F.col("b.block").alias("b"))
         .distinct()
     )
 
@@ -263,7 +263,7 @@ def _join_pairs(batches):
     for batch in batches:
         if not batch.num_rows:
             continue
-        pair = np.stack([batch.column("pair_a").to_numpy(), batch.column("pair_b").to_numpy()], axis=1)
+        pair = np.stack([batch.column(c).to_numpy() for c in ("dims", "pair_a", "pair_b")], axis=1)
         borders = [0, *(np.flatnonzero((pair[1:] != pair[:-1]).any(axis=1)) + 1).tolist(), len(pair)]
         for begin, end in zip(borders[:-1], borders[1:]):
             if held and tuple(pair[begin]) != key:
@@ -283,12 +283,19 @@ def links(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     basis = {d: directions(found, d) for d in sizes}
     rows = blocks(grid(found, basis))
     pairs = materialise(block_pairs(rows))
-    roles = pairs.select(F.col("a").alias("block"), F.col("a").alias("pair_a"), F.col("b").alias("pair_b"), F.lit(0).alias("side"))
-    other = pairs.where("a < b").select(F.col("b").alias("block"), F.col("a").alias("pair_a"), F.col("b").alias("pair_b"), F.lit(1).alias("side"))
-    cells = ["dims", *[f"c{k}" for k in range(DIRECTIONS)]]
-    dealt = rows.join(roles.unionByName(other), "block").select("pair_a", "pair_b", "side", *cells, "id", "members", "at", "vector")
-    dealt = dealt.repartition("pair_a", "pair_b", "dims").sortWithinPartitions("dims", "pair_a", "pair_b", "side", *cells[1:], "id")
-    out = materialise(dealt.select("pair_a", "pair_b", "side", "id", "members", "at", "vector").mapInArrow(_join_pairs, "a bigint, b bigint, n bigint"))
+    ends = [("a", 0, "true"), ("b", 1, "a < b")]
+    roles = [
+        pairs.where(use).select(
+            "dims", F.col(end).alias("block"), F.col("a").alias("pair_a"), F.col("b").alias("pair_b"), F.lit(side).alias("side")
+        )
+        for end, side, use in ends
+    ]
+    cells = [f"c{k}" for k in range(DIRECTIONS)]
+    key = ["dims", "pair_a", "pair_b"]
+    dealt = rows.join(roles[0].unionByName(roles[1]), ["dims", "block"])
+    dealt = dealt.repartition(*key).sortWithinPartitions(*key, "side", *cells, "id")
+    dealt = dealt.select(*key, "side", "id", "members", "at", "vector")
+    out = materialise(dealt.mapInArrow(_join_pairs, "a bigint, b bigint, n bigint"))
     return out.where("b IS NULL").groupBy("a").agg(F.sum("n").alias("n")), out.where("b IS NOT NULL").select("a", "b")
 
 
