@@ -30,7 +30,10 @@ ENDING_BYTES = 3
 SAMPLE_TOKENS, SAMPLE_ROUNDS, ROUNDS = 2_000_000, 10, 2
 #: Tokens in a window of training and in a piece of scoring.
 WINDOW, PIECE = 256, 256
-CHUNK_BYTES = 6 << 20
+#: Text read at a time; text and distinct words of a chunk, and words in a bucket, about.
+BATCH_BYTES = 2 << 20
+CHUNK_BYTES, CHUNK_WORDS = 64 << 20, 1 << 20
+BUCKET_WORDS = 1 << 19
 BATCH_TOKENS = 1 << 18
 SEED = 20
 
@@ -38,75 +41,113 @@ SEED = 20
 # ---- texts to coded rows ------------------------------------------------------------------------
 
 
+def pack(numbers: np.ndarray) -> bytes:
+    """Word numbers below 2**24 as their low halves, then their high bytes, which compress well."""
+    return (numbers & 0xFFFF).astype(np.uint16).tobytes() + (numbers >> 16).astype(np.uint8).tobytes()
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    size = len(raw) // 3
+    return np.frombuffer(raw, np.uint16, size).astype(np.int64) | (np.frombuffer(raw, np.uint8, size, 2 * size).astype(np.int64) << 16)
+
+
+class Dictionary:
+    """Numbers the distinct words of a chunk in order of appearance, and counts them in training texts."""
+
+    def __init__(self) -> None:
+        self.known = np.zeros(0, np.uint64)
+        self.number = np.zeros(0, np.int64)
+        self.hashes: list[np.ndarray] = []
+        self.endings: list[np.ndarray] = []
+        self.counts = np.zeros(0, np.int64)
+        self.bytes = 0
+
+    def add(self, found, train: np.ndarray) -> np.ndarray:
+        """Number of each word of `found`; `train` marks words of training texts."""
+        distinct, first, local = np.unique(found.hashes(), return_index=True, return_inverse=True)
+        slot = np.searchsorted(self.known, distinct)
+        new = np.ones(len(distinct), bool)
+        if len(self.known):
+            new = self.known[np.minimum(slot, len(self.known) - 1)] != distinct
+        some = np.flatnonzero(new)
+        some = some[np.argsort(first[some])]
+        starts, ends = found.starts[first[some]], found.ends[first[some]]
+        ending = span_hashes(found.data, np.maximum(starts, ends - ENDING_BYTES), ends) % np.uint64(ENDINGS)
+        self.hashes.append(distinct[some])
+        self.endings.append(ending.astype(np.int16))
+        number = np.empty(len(distinct), np.int64)
+        number[some] = len(self.counts) + np.arange(len(some))
+        number[~new] = self.number[slot[~new]]
+        known = np.concatenate([self.known, distinct[some]])
+        order = np.argsort(known)
+        self.known, self.number = known[order], np.concatenate([self.number, number[some]])[order]
+        self.counts = np.concatenate([self.counts, np.zeros(len(some), np.int64)])
+        numbers = number[local]
+        self.counts += np.bincount(numbers[train], minlength=len(self.counts))
+        self.bytes += len(found.data)
+        return numbers
+
+    def full(self) -> bool:
+        return self.bytes >= CHUNK_BYTES or len(self.counts) >= CHUNK_WORDS
+
+
 def _code(docs: DataFrame) -> DataFrame:
-    """Texts by chunk: a `kind` 0 row with the chunk's distinct words, then `kind` 1 rows with each text's word numbers.
+    """Texts by chunk: `kind` 1 rows with each text's word numbers, and a `kind` 0 row with the chunk's distinct words.
 
-    Of a distinct word, `a` holds the hash, `b` the slot of its ending, `c` its count in training texts.
+    Of the distinct words, `a` holds the hashes, `b` the slots of their endings, `c` their counts in training texts.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"chunk bigint, kind int, doc_id {kind}, held boolean, a binary, b binary, c binary"
 
     def run(batches):
         number = TaskContext.get().partitionId() << 32
+        book = Dictionary()
+        id_type = None
+
+        def close():
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([number], pa.int64()),
+                    pa.array([0], pa.int32()),
+                    pa.nulls(1, id_type),
+                    pa.nulls(1, pa.bool_()),
+                    pa.array([np.concatenate(book.hashes).tobytes()], pa.binary()),
+                    pa.array([np.concatenate(book.endings).tobytes()], pa.binary()),
+                    pa.array([book.counts.tobytes()], pa.binary()),
+                ],
+                names=["chunk", "kind", "doc_id", "held", "a", "b", "c"],
+            )
+
         for batch in batches:
-            for part in weigh([batch], "text", CHUNK_BYTES):
+            for part in weigh([batch], "text", BATCH_BYTES):
+                id_type = part.column("doc_id").type
                 found = words(part.column("text"), IS_SPACED_WORD)
-                distinct, first, local = np.unique(found.hashes(), return_index=True, return_inverse=True)
-                starts, ends = found.starts[first], found.ends[first]
-                order = np.argsort(starts)
-                ending = np.zeros(len(distinct), np.int64)
-                ending[order] = span_hashes(
-                    found.data, np.maximum(starts, ends - ENDING_BYTES)[order], ends[order]
-                ) % np.uint64(ENDINGS)
                 held = part.column("held").to_numpy(zero_copy_only=False)
-                train = np.repeat(~held, np.diff(found.first))
-                counts = np.bincount(local[train], minlength=len(distinct))
+                numbers = book.add(found, np.repeat(~held, np.diff(found.first)))
                 n = part.num_rows
-                codes = local.astype(np.int32)
-                lines = [codes[s:e].tobytes() for s, e in zip(found.first[:-1].tolist(), found.first[1:].tolist())]
-                docs_ = part.column("doc_id")
+                lines = [pack(numbers[s:e]) for s, e in zip(found.first[:-1].tolist(), found.first[1:].tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(n + 1, number)),
-                        pa.array(np.r_[0, np.ones(n, int)].astype(np.int32)),
-                        pa.concat_arrays([pa.nulls(1, docs_.type), docs_]),
-                        pa.concat_arrays([pa.nulls(1, pa.bool_()), part.column("held")]),
-                        pa.array([distinct.tobytes(), *lines], pa.binary()),
-                        pa.array([ending.astype(np.int16).tobytes()] + [None] * n, pa.binary()),
-                        pa.array([counts.astype(np.int64).tobytes()] + [None] * n, pa.binary()),
+                        pa.array(np.full(n, number)),
+                        pa.array(np.ones(n, np.int32)),
+                        part.column("doc_id"),
+                        part.column("held"),
+                        pa.array(lines, pa.binary()),
+                        pa.nulls(n, pa.binary()),
+                        pa.nulls(n, pa.binary()),
                     ],
                     names=["chunk", "kind", "doc_id", "held", "a", "b", "c"],
                 )
-                number += 1
+                if book.full():
+                    yield close()
+                    number += 1
+                    book = Dictionary()
+        if book.bytes or id_type is not None and book.hashes:
+            yield close()
 
     return docs.mapInArrow(run, schema)
 
 
-def _chunk_words(coded: DataFrame) -> DataFrame:
-    """`(chunk, place, hash, ending, n)` of every distinct word of every chunk."""
-
-    def run(batches):
-        for batch in batches:
-            for chunk, a, b, c in zip(*(batch.column(x).to_pylist() for x in ("chunk", "a", "b", "c"))):
-                hashes = np.frombuffer(a, np.int64)
-                for begin in range(0, len(hashes), 1 << 16):
-                    cut = slice(begin, begin + (1 << 16))
-                    size = len(hashes[cut])
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(size, chunk)),
-                            pa.array(np.arange(begin, begin + size, dtype=np.int32)),
-                            pa.array(hashes[cut]),
-                            pa.array(np.frombuffer(b, np.int16)[cut]),
-                            pa.array(np.frombuffer(c, np.int64)[cut]),
-                        ],
-                        names=["chunk", "place", "hash", "ending", "n"],
-                    )
-
-    rows = coded.where("kind = 0").select("chunk", "a", "b", "c")
-    return rows.mapInArrow(run, "chunk bigint, place int, hash bigint, ending smallint, n bigint")
-
-
 # ---- counts -------------------------------------------------------------------------------------
 
 
@@ -146,84 +187,140 @@ class Counts:
         return smooth / smooth.sum()
 
 
-def _count(by_word: DataFrame, texts: int) -> Counts:
-    """From `(hash, ending, n)`, one row for each word that occurs in training."""
-    total = by_word.agg(F.count(F.lit(1)).alias("types"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens")).first()
-    best = [r["hash"] for r in by_word.orderBy(F.desc("n"), "hash").limit(FREQUENT).collect()]
-    frequent = np.sort(np.array(best, np.int64))
-    counts = Counts(total["tokens"] + texts, total["types"] + (texts > 0), texts, frequent, np.zeros(CLASSES), np.zeros(CLASSES))
-    sent = by_word.sparkSession.sparkContext.broadcast(frequent)
+def bucket_of(hashes: np.ndarray, buckets: int) -> np.ndarray:
+    return ((hashes >> np.uint64(20)) % np.uint64(buckets)).astype(np.int64)
 
-    def run(batches):
-        tokens, once = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
-        lookup = Counts(0, 0, 0, sent.value, tokens, once)
-        for batch in batches:
-            n = batch.column("n").to_numpy()
-            of = lookup.classes(batch.column("hash").to_numpy(), batch.column("ending").to_numpy())
-            np.add.at(tokens, of, n)
-            np.add.at(once, of, n == 1)
-        some = np.flatnonzero(tokens)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(some.astype(np.int32)), pa.array(tokens[some]), pa.array(once[some])], names=["class", "tokens", "once"]
-        )
 
-    parts = by_word.mapInArrow(run, "class int, tokens bigint, once bigint")
-    # One row for each class.
-    for r in parts.groupBy("class").agg(F.sum("tokens").alias("tokens"), F.sum("once").alias("once")).collect():
-        counts.class_tokens[r["class"]], counts.class_once[r["class"]] = r["tokens"], r["once"]
-    counts.class_tokens[0] = texts
-    return counts
+def _add_up(coded: DataFrame, buckets: int) -> DataFrame:
+    """Corpus counts of the words of every chunk, bucket by bucket: `(chunk, bucket, counts)`, in the chunk's order.
 
+    A row with a null chunk sums the bucket up: its most frequent words, and tokens, types and words seen once by ending.
+    """
+
+    def deal(batches):
+        for batch in batches:
+            for chunk, a, b, c in zip(*(batch.column(x).to_pylist() for x in ("chunk", "a", "b", "c"))):
+                hashes, endings, counts = np.frombuffer(a, np.uint64), np.frombuffer(b, np.int16), np.frombuffer(c, np.int64)
+                of = bucket_of(hashes, buckets)
+                order = np.argsort(of, kind="stable")
+                borders = np.searchsorted(of[order], np.arange(buckets + 1))
+                some = [k for k in range(buckets) if borders[k] < borders[k + 1]]
+                cut = [order[borders[k] : borders[k + 1]] for k in some]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(some, pa.int32()),
+                        pa.array([chunk] * len(some), pa.int64()),
+                        *[pa.array([x[rows].tobytes() for rows in cut], pa.binary()) for x in (hashes, endings, counts)],
+                    ],
+                    names=["bucket", "chunk", "a", "b", "c"],
+                )
 
-def _classify(coded: DataFrame, by_chunk: DataFrame, counts: Counts) -> DataFrame:
+    def add(rows: pa.Table) -> pa.Table:
+        hashes = [np.frombuffer(x, np.uint64) for x in rows["a"].to_pylist()]
+        endings = np.concatenate([np.frombuffer(x, np.int16) for x in rows["b"].to_pylist()]).astype(np.int64)
+        counts = np.concatenate([np.frombuffer(x, np.int64) for x in rows["c"].to_pylist()])
+        distinct, first, number = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+        total = np.zeros(len(distinct), np.int64)
+        np.add.at(total, number, counts)
+        ends = np.cumsum([len(h) for h in hashes])
+        back = [x.tobytes() for x in np.split(total[number], ends[:-1])]
+        ending, seen = endings[first], total > 0
+        slots = np.stack(
+            [
+                np.bincount(ending, weights=weight, minlength=ENDINGS).astype(np.int64)
+                for weight in (total, seen.astype(np.int64), (total == 1).astype(np.int64))
+            ]
+        )
+        best = np.lexsort((distinct.view(np.int64), -total))[:FREQUENT]
+        best = best[total[best] > 0]
+        top = np.stack([distinct[best].view(np.int64), total[best], ending[best]])
+        bucket = rows["bucket"][0].as_py()
+        n = len(back)
+        return pa.table(
+            {
+                "chunk": pa.array([*rows["chunk"].to_pylist(), None], pa.int64()),
+                "bucket": pa.array([bucket] * (n + 1), pa.int32()),
+                "counts": pa.array([*back, None], pa.binary()),
+                "top": pa.array([None] * n + [top.tobytes()], pa.binary()),
+                "slots": pa.array([None] * n + [slots.tobytes()], pa.binary()),
+            }
+        )
+
+    dealt = coded.where("kind = 0").select("chunk", "a", "b", "c")
+    dealt = dealt.mapInArrow(deal, "bucket int, chunk bigint, a binary, b binary, c binary")
+    return dealt.groupBy("bucket").applyInArrow(add, "chunk bigint, bucket int, counts binary, top binary, slots binary")
+
+
+def _count(added: DataFrame, texts: int) -> Counts:
+    """The whole from the buckets' sums, one at a time."""
+    slots = np.zeros((3, ENDINGS), np.int64)
+    best = np.zeros((3, 0), np.int64)
+    for row in added.where("chunk IS NULL").select("top", "slots").toLocalIterator():
+        slots += np.frombuffer(row["slots"], np.int64).reshape(3, ENDINGS)
+        best = np.concatenate([best, np.frombuffer(row["top"], np.int64).reshape(3, -1)], axis=1)
+        best = best[:, np.lexsort((best[0], -best[1]))[:FREQUENT]]
+    tokens, types = int(slots[0].sum()), int(slots[1].sum())
+    order = np.argsort(best[0].view(np.uint64))
+    frequent = best[:, order]
+    np.subtract.at(slots[0], frequent[2], frequent[1])
+    np.subtract.at(slots[2], frequent[2], (frequent[1] == 1).astype(np.int64))
+    class_tokens, class_once = np.zeros(CLASSES), np.zeros(CLASSES)
+    class_tokens[0] = texts
+    class_tokens[1 : 1 + frequent.shape[1]] = frequent[1]
+    class_tokens[1 + FREQUENT :] = slots[0]
+    class_once[1 + FREQUENT :] = slots[2]
+    return Counts(tokens + texts, types + (texts > 0), texts, frequent[0].view(np.uint64), class_tokens, class_once)
+
+
+def _classify(coded: DataFrame, added: DataFrame, counts: Counts, buckets: int) -> DataFrame:
     """Per text: `n_tokens, n_known, base, share` (sums over its tokens) and `classes` (uint16 of each token, the end last)."""
     kind = coded.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, held boolean, n_tokens bigint, n_known bigint, base double, share double, classes binary"
     sent = coded.sparkSession.sparkContext.broadcast(counts)
-    words_ = by_chunk.select(
-        "chunk", F.lit(0).alias("kind"), "place", "hash", "ending", "n",
-        F.lit(None).cast(kind).alias("doc_id"), F.lit(None).cast("boolean").alias("held"), F.lit(None).cast("binary").alias("a"),
+    # of each chunk: its words, then their counts by bucket, then its texts
+    own_ = coded.select("chunk", (F.col("kind") * 2).alias("kind"), F.lit(0).alias("bucket"), "doc_id", "held", "a", "b")
+    back = added.where("chunk IS NOT NULL").select(
+        "chunk", F.lit(1).alias("kind"), "bucket", F.lit(None).cast(kind).alias("doc_id"),
+        F.lit(None).cast("boolean").alias("held"), F.col("counts").alias("a"), F.lit(None).cast("binary").alias("b"),
     )
-    texts = coded.where("kind = 1").select(
-        "chunk", "kind", F.lit(0).alias("place"), F.lit(0).cast("bigint").alias("hash"), F.lit(0).cast("smallint").alias("ending"),
-        F.lit(0).cast("bigint").alias("n"), "doc_id", "held", "a",
-    )
-    dealt = words_.unionByName(texts).repartition("chunk").sortWithinPartitions("chunk", "kind", "place")
+    dealt = own_.unionByName(back).repartition("chunk").sortWithinPartitions("chunk", "kind", "bucket")
 
     def run(batches):
         counts = sent.value
         end_known = int(counts.texts > 0)
         end_base = float(counts.base(np.array([counts.texts]))[0])
-        current, held, ready = None, [], None
+        hashes = endings = of_bucket = total = ready = None
         for batch in batches:
-            chunks = batch.column("chunk").to_numpy()
             kinds = batch.column("kind").to_numpy()
-            borders = np.flatnonzero((chunks[1:] != chunks[:-1]) | (kinds[1:] != kinds[:-1])) + 1
-            borders = [0, *borders.tolist(), len(chunks)] if len(chunks) else [0]
-            for begin, stop in zip(borders[:-1], borders[1:]):
-                part = batch.slice(begin, stop - begin)
-                if chunks[begin] != current:
-                    current, held, ready = chunks[begin], [], None
-                if kinds[begin] == 0:
-                    held.append([part.column(c).to_numpy(zero_copy_only=False) for c in ("hash", "ending", "n")])
+            texts = np.flatnonzero(kinds == 2)
+            out = []
+            for i, (kind, bucket, a, b) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("kind", "bucket", "a", "b")))):
+                if kind == 0:
+                    hashes, endings, ready = np.frombuffer(a, np.uint64), np.frombuffer(b, np.int16), None
+                    total = np.zeros(len(hashes), np.int64)
+                    of = bucket_of(hashes, buckets)
+                    order = np.argsort(of, kind="stable")
+                    of_bucket = np.split(order, np.searchsorted(of[order], np.arange(1, buckets)))
+                    continue
+                if kind == 1:
+                    total[of_bucket[bucket]] = np.frombuffer(a, np.int64)
                     continue
                 if ready is None:
-                    hashes, endings, n = (np.concatenate(x) for x in zip(*held)) if held else (np.zeros(0, np.int64),) * 3
                     of = counts.classes(hashes, endings)
-                    ready = (of.astype(np.uint16), n > 0, counts.base(n), counts.share(of, n))
+                    ready = (of.astype(np.uint16), total > 0, counts.base(total), counts.share(of, total))
                 of, known, base, share = ready
-                out = []
-                for line in part.column("a").to_pylist():
-                    at = np.frombuffer(line, np.int32)
-                    out.append(
-                        (
-                            len(at) + 1,
-                            int(known[at].sum()) + end_known,
-                            float(base[at].sum()) + end_base,
-                            float(share[at].sum()),
-                            of[at].tobytes() + b"\0\0",
-                        )
+                at = unpack(a)
+                out.append(
+                    (
+                        len(at) + 1,
+                        int(known[at].sum()) + end_known,
+                        float(base[at].sum()) + end_base,
+                        float(share[at].sum()),
+                        of[at].tobytes() + b"\0\0",
                     )
+                )
+            if out:
+                part = batch.take(pa.array(texts))
                 columns = list(zip(*out))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -425,14 +522,11 @@ def score(docs: DataFrame) -> DataFrame:
     held = crc_part(F.col("doc_id"), 10) == 0
     coded = materialise(_code(docs.select("doc_id", held.alias("held"), "text")))
     texts = coded.where("kind = 1 AND NOT held").count()
-    chunk_words = _chunk_words(coded)
-    by_word = materialise(
-        chunk_words.where("n > 0").groupBy("hash").agg(F.max("ending").alias("ending"), F.sum("n").alias("n"))
-    )
-    counts = _count(by_word, texts)
-    by_chunk = chunk_words.select("chunk", "place", "hash", "ending").join(by_word.select("hash", "n"), "hash", "left")
-    by_chunk = by_chunk.withColumn("n", F.coalesce("n", F.lit(0)))
-    ready = materialise(_classify(coded, by_chunk, counts))
+    sizes = coded.where("kind = 0").agg(F.sum(F.octet_length("a")).alias("n")).first()
+    buckets = 64 + (sizes["n"] or 0) // 8 // BUCKET_WORDS
+    added = materialise(_add_up(coded, buckets))
+    counts = _count(added, texts)
+    ready = materialise(_classify(coded, added, counts, buckets))
     model = train(ready, counts)
     sent = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema["doc_id"].dataType.simpleString()
