@@ -31,7 +31,7 @@ BLOCK_BITS = 16
 BATCH_BYTES = 2 << 20
 #: Lines of one word compared in one task, and candidates (near certain, any) after which a look-up stops.
 PIECE = 8192
-ENOUGH = (2, 64)
+ENOUGH = (1, 64)
 #: Differing words up to which the 64-bit bitmaps of unrelated sets are nearly always further apart.
 SURE = 16
 NEWLINE = 0x0A
@@ -420,27 +420,17 @@ def _sets(docs: DataFrame, doc: str, text: str, mark: str, wanted) -> DataFrame:
 def _verified(pairs: DataFrame, docs: DataFrame, doc: str, text: str, mark: str) -> DataFrame:
     """The lines `(doc, place)` of `pairs` that are similar to one of their candidates."""
     top, low = SIMILAR
-    both = pairs.select("doc", "place").unionByName(
-        pairs.select(F.col("to_doc").alias("doc"), F.col("to_place").alias("place"))
-    )
+    # Documents by a hash of their id, so that null ids join too and one exchange serves all steps.
+    id_, to = F.xxhash64("doc"), F.xxhash64("to_doc")
+    both = pairs.select(id_.alias("id"), "place").unionByName(pairs.select(to.alias("id"), F.col("to_place").alias("place")))
     bits = docs.sparkSession.sparkContext.broadcast(as_array(needed(both, _line_bucket("place")), FINE))
-    wanted = both.select("doc", "place").distinct()
-    sets = _sets(docs, doc, text, mark, bits)
-    sets = materialise(
-        sets.alias("s").join(
-            wanted.alias("w"), F.col("s.doc").eqNullSafe(F.col("w.doc")) & (F.col("s.place") == F.col("w.place")), "left_semi"
-        ).dropDuplicates(["doc", "place"])
-    )
-    joined = (
-        pairs.alias("p")
-        .join(sets.alias("x"), F.col("p.doc").eqNullSafe(F.col("x.doc")) & (F.col("p.place") == F.col("x.place")))
-        .select("p.*", F.col("x.words").alias("own"))
-        .alias("p")
-        .join(sets.alias("y"), F.col("p.to_doc").eqNullSafe(F.col("y.doc")) & (F.col("p.to_place") == F.col("y.place")))
-    )
-    shared = F.size(F.array_intersect("own", "y.words"))
-    total = F.size("own") + F.size("y.words")
-    return joined.where((top + low) * shared >= top * total).select("p.doc", "p.place").distinct()
+    sets = _sets(docs, doc, text, mark, bits).select(id_.alias("id"), "place", "words")
+    sets = materialise(sets.join(both.distinct(), ["id", "place"], "left_semi").dropDuplicates(["id", "place"]))
+    own_ = sets.withColumnRenamed("words", "own")
+    other = sets.select(F.col("id").alias("to"), F.col("place").alias("to_place"), "words")
+    joined = pairs.withColumns({"id": id_, "to": to}).join(own_, ["id", "place"]).join(other, ["to", "to_place"])
+    shared, total = F.size(F.array_intersect("own", "words")), F.size("own") + F.size("words")
+    return joined.where((top + low) * shared >= top * total).select("doc", "place").distinct()
 
 
 def removed_lines(docs: DataFrame, doc: str, text: str, mark: str) -> DataFrame:
@@ -449,14 +439,21 @@ def removed_lines(docs: DataFrame, doc: str, text: str, mark: str) -> DataFrame:
     counts = docs.sparkSession.sparkContext.broadcast(Counts.gather(source, text))
     lines = materialise(_lines(source, counts, doc, text, mark))
     postings = _postings(lines)
+    line, other = ["doc", "place"], ["to_doc", "to_place"]
     pairs = materialise(
-        _candidates(postings, ENOUGH).groupBy("doc", "place", "to_doc", "to_place").agg(F.max("more").alias("more"))
+        _candidates(postings, ENOUGH)
+        .groupBy(*line, *other)
+        .agg(F.max("more").alias("more"), F.count(F.lit(1)).alias("votes"))
     )
-    similar = materialise(_verified(pairs, source, doc, text, mark))
+    # The candidate that shares most prefix words first: it settles nearly all lines that have a match.
+    best = pairs.groupBy(*line).agg(F.max(F.struct("votes", *other)).alias("best"))
+    similar = materialise(_verified(materialise(best.select(*line, *[f"best.{c}" for c in other])), source, doc, text, mark))
     same = lambda a, b: F.col(f"{a}.doc").eqNullSafe(F.col(f"{b}.doc")) & (F.col(f"{a}.place") == F.col(f"{b}.place"))
-    open_ = materialise(
-        pairs.where("more").select("doc", "place").distinct().alias("o").join(similar.alias("s"), same("o", "s"), "left_anti")
-    )
+    unsettled = materialise(pairs.alias("o").join(similar.alias("s"), same("o", "s"), "left_anti"))
+    second = materialise(_verified(unsettled.select(*line, *other), source, doc, text, mark))
+    similar = similar.unionByName(second)
+    open_ = unsettled.where("more").select(*line).distinct().alias("o").join(second.alias("s"), same("o", "s"), "left_anti")
+    open_ = materialise(open_)
     if not open_.isEmpty():
         asked = _postings(_only(lines, open_)).alias("p").join(open_.withColumn("ask", F.lit(True)).alias("o"), same("p", "o"), "left")
         asked = asked.select("p.*", F.coalesce("ask", F.lit(False)).alias("ask"))
