@@ -149,12 +149,12 @@ def _members(select: str, kind: str, strategy: str, rate: str) -> str:
 def _alcohol(group: str) -> None:
     rules = co.alcohol_rules(tables.ALCOHOL, group)
     rows = ", ".join(
-        f"('^({r['pattern']})', '{r['sex']}', '{r['outcome']}', {r['low']}, {r['high']}, {r['rate']}::DOUBLE)" for r in rules
+        f"('^({r['pattern']})', '{r['sex']}', '{r['outcome']}', {r['low']}, {'NULL' if r['high'] is None else r['high']}, {r['rate']}::DOUBLE)" for r in rules
     )
     strategy = f"alcohol_partially_attributable_{group}"
     select = f"""SELECT s.fyear, s.provider, s.epikey, max(r.rate) AS rate FROM v_ip s JOIN v_dx d ON d.epikey = s.epikey AND d.fyear = s.fyear
       JOIN (VALUES {rows}) r(pattern, sex, outcome, low, high, rate) ON regexp_matches(d.diagnosis, r.pattern) AND r.sex = s.sex
-        AND s.age BETWEEN r.low AND r.high AND r.outcome = CASE WHEN s.dismeth = '4' THEN 'mortality' ELSE 'morbidity' END GROUP BY ALL"""
+        AND s.age >= r.low AND (r.high IS NULL OR s.age <= r.high) AND r.outcome = CASE WHEN s.dismeth = '4' THEN 'mortality' ELSE 'morbidity' END GROUP BY ALL"""
 
     @check(f"coh_11_{strategy}", _members(select, "activity_avoidance", strategy, "rate"))
     def _(v):

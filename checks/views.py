@@ -205,7 +205,7 @@ SELECT epikey, fyear, procode3, 1, {_code("ABCDEFGHIJKLMNRSTZ", "epikey")}
 FROM {{v_apc}} WHERE epikey % {PROFILE_COUNT} >= {len(PROFILES)}
 UNION ALL
 SELECT s.epikey, s.fyear, s.procode3, 10 + l.l_linenumber, {_code("EGJKLMNRZ", "l.l_partkey")}
-FROM {{lineitem}} l JOIN {{v_apc}} s ON l.l_orderkey = s.epikey WHERE l.l_linenumber <= 2
+FROM {{lineitem}} l JOIN {{v_apc}} s ON l.l_orderkey = s.epikey
 """
 VIEWS["v_px"] = f"""
 SELECT s.epikey, s.fyear, s.procode3, CAST(t.ord AS INT) AS procedure_order, t.code AS procedure_code,
@@ -346,7 +346,7 @@ SELECT 'A' || CAST(e AS STRING) AS aekey, {_fyear("(day - 1800)")} AS fyear,
        substr('ABCDEFGHJK', CAST(e % 10 AS INT) + 1, 1) AS ethnos, 'E12' || CAST(nat % 5 AS STRING) AS resgor_ons, lsoa11,
        CASE WHEN e % 19 = 0 THEN NULL ELSE 'C' || lpad(CAST(nat AS STRING), 2, '0') END AS ccg_residence,
        'C' || lpad(CAST((nat + 1) % 25 AS STRING), 2, '0') AS ccg_responsibility
-FROM {{v_event}} WHERE e % 2 = 0
+FROM {{v_event}}
 """
 VIEWS["v_aae_dx"] = """
 SELECT aekey, fyear, procode3, 1 AS diag_order,

@@ -13,8 +13,10 @@ def starts_with_any(*patterns: str) -> str:
     return f"^({'|'.join(patterns)})"
 
 
-def sql_literal(value: str | int | float) -> str:
+def sql_literal(value: str | int | float | None) -> str:
     """A value as SQL text."""
+    if value is None:
+        return "NULL"
     if isinstance(value, str):
         escaped = value.replace("\\", "\\\\").replace("'", "\\'")
         return f"'{escaped}'"

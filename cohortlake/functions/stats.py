@@ -11,13 +11,25 @@ from pyspark.sql import functions as F
 
 
 def t_two_sided(t: Column, df: Column) -> Column:
-    """Two-sided p-value of Student's t for 1, 2 or 3 degrees of freedom, in closed form."""
+    """Two-sided p-value of Student's t: in closed form for 1, 2 or 3 degrees of freedom, else by the incomplete beta function."""
     x = F.abs(t)
     one = 1 - F.lit(2 / math.pi) * F.atan(x)
     two = 1 - x / F.sqrt(x * x + 2)
     y = x / math.sqrt(3)
     three = 1 - F.lit(2 / math.pi) * (F.atan(y) + y / (1 + y * y))
-    return F.when(df == 1, one).when(df == 2, two).when(df == 3, three)
+
+    @F.pandas_udf("double")
+    def tail(t: pd.Series, df: pd.Series) -> pd.Series:
+        out = pd.Series(np.nan, index=t.index)
+        more = (df > 3) & t.notna()
+        if more.any():
+            n = df[more].to_numpy(dtype=float)
+            x = n / (n + t[more].to_numpy(dtype=float) ** 2)
+            out[more] = incomplete_beta(n / 2, np.full_like(n, 0.5), x)
+        return out
+
+    general = tail(F.when(df > 3, x), F.when(df > 3, df.cast("double")).otherwise(0.0))
+    return F.when(df == 1, one).when(df == 2, two).when(df == 3, three).when(df > 3, general)
 
 
 def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -42,10 +54,27 @@ def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
         step = d * c
         h = h * step
         if np.all(np.abs(step - 1) < 1e-14):
-            break
+            return h
+    if not np.all(np.abs(step - 1) < 1e-9):
+        raise ArithmeticError("the incomplete beta function did not converge")
     return h
 
 
+def incomplete_beta(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The regularised incomplete beta function I_x(a, b), element-wise, from the side that converges."""
+    lgamma = np.vectorize(math.lgamma, otypes=[float])
+    inside = (x > 0) & (x < 1)
+    a, b, y = a[inside], b[inside], x[inside]
+    result = (x >= 1).astype(float)
+    if a.size:
+        front = np.exp(lgamma(a + b) - lgamma(a) - lgamma(b) + a * np.log(y) + b * np.log1p(-y))
+        direct = y < (a + 1) / (a + b + 2)
+        left = front * _beta_fraction(a, b, y) / a
+        right = 1 - front * _beta_fraction(b, a, 1 - y) / b
+        result[inside] = np.where(direct, left, right)
+    return result
+
+
 def binomial_upper_tail(k: np.ndarray, n: np.ndarray, p: float) -> np.ndarray:
     """P(X >= k) for X ~ Binomial(n, p), as the incomplete beta function I_p(k, n - k + 1).
 
@@ -55,15 +84,8 @@ def binomial_upper_tail(k: np.ndarray, n: np.ndarray, p: float) -> np.ndarray:
     n = np.asarray(n, dtype=float)
     result = np.ones_like(k)
     inside = k > 0
-    a, b = k[inside], n[inside] - k[inside] + 1
-    lgamma = np.vectorize(math.lgamma, otypes=[float])
-    if a.size:
-        front = np.exp(lgamma(a + b) - lgamma(a) - lgamma(b) + a * math.log(p) + b * math.log1p(-p))
-        direct = p < (a + 1) / (a + b + 2)
-        x = np.full_like(a, p)
-        left = front * _beta_fraction(a, b, x) / a
-        right = 1 - front * _beta_fraction(b, a, 1 - x) / b
-        result[inside] = np.where(direct, left, right)
+    a = k[inside]
+    result[inside] = incomplete_beta(a, n[inside] - a + 1, np.full_like(a, p))
     return np.clip(result, 0.0, 1.0)
 
 

@@ -95,17 +95,15 @@ def members(df: DataFrame, type: str, strategy: str, rate: Column | float = 1.0)
 # --- cohorts with attributable fractions ---------------------------------------------------------
 
 
-OPEN_AGE = 120
-
-
 def alcohol_rules(table: Mapping, group: str) -> list[dict]:
     """Rows (pattern, sex, outcome, low, high, rate) of one group of the alcohol fraction file.
 
     A condition gives fractions by sex for the age bands listed in the file, either for all outcomes
-    or separately for mortality and morbidity. Only fractions above 0 and up to 1 are kept.
+    or separately for mortality and morbidity. Only fractions above 0 and up to 1 are kept. The last
+    band has no upper age.
     """
     lows = table["ages"]
-    highs = [low - 1 for low in lows[1:]] + [OPEN_AGE]
+    highs = [low - 1 for low in lows[1:]] + [None]
     rows = []
     for conditions in table["data"][group].values():
         for condition in conditions.values():
@@ -139,7 +137,7 @@ def alcohol_partly(spells: DataFrame, diagnoses: DataFrame, rules: Sequence[Mapp
         (f["sex"] == F.col("sex"))
         & (f["outcome"] == F.col("outcome"))
         & (F.col("age") >= f["low"])
-        & (F.col("age") <= f["high"])
+        & (f["high"].isNull() | (F.col("age") <= f["high"]))
     )
     rate = F.array_max(F.transform(F.filter("fractions", applies), lambda f: f["rate"]))
     outcome = F.when(F.col("dismeth") == "4", "mortality").otherwise("morbidity")

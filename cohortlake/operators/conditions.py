@@ -98,23 +98,24 @@ def leaves(condition: Condition) -> Iterable[Condition]:
 def expand_patterns(codes: DataFrame, code: str, rules: Sequence[Mapping], pattern: str = "pattern") -> DataFrame:
     """Each distinct code with the fields of every rule whose anchored pattern it matches.
 
-    The rules are a short parameter, held as one literal array and filtered per distinct code, so the
-    records themselves are joined on equality.
+    Every distinct pattern is tested once per distinct code; codes then meet the rules by equality on
+    the pattern's number. Records themselves are never tested.
     """
     fields = [f for f in rules[0] if f != pattern]
-    structs = [
-        "struct("
-        + ", ".join([f"{sql_literal(starts_with_any(r[pattern]))} AS {pattern}", *[f"{sql_literal(r[f])} AS {f}" for f in fields]])
-        + ")"
-        for r in rules
+    patterns = list(dict.fromkeys(r[pattern] for r in rules))
+    tests = [
+        f"IF(rlike(`{code}`, {sql_literal(starts_with_any(p))}), {number}, NULL)" for number, p in enumerate(patterns)
     ]
-    literal = F.expr(f"array({', '.join(structs)})")
-    matched = F.filter(literal, lambda r: F.rlike(F.col(code), r[pattern]))
+    by_number = ", ".join(
+        f"({patterns.index(r[pattern])}, {', '.join(sql_literal(r[f]) for f in fields)})" for r in rules
+    )
+    listed = codes.sparkSession.sql(f"SELECT * FROM VALUES {by_number} AS t(_number, {', '.join(f'`{f}`' for f in fields)})")
     return (
         codes.select(code)
         .filter(F.col(code).isNotNull())
         .distinct()
-        .select(code, F.inline(matched))
+        .select(code, F.explode(F.expr(f"array_compact(array({', '.join(tests)}))")).alias("_number"))
+        .join(listed, "_number")
         .select(code, *fields)
     )
 

@@ -26,7 +26,8 @@ def test_binomial_tail_of_large_counts():
 
 def test_t_tail(spark):
     # two-sided 5% points of Student's t
-    df = spark.createDataFrame([(12.7062, 1), (4.30265, 2), (3.18245, 3), (-3.18245, 3)], "t double, df int")
+    points = [(12.7062, 1), (4.30265, 2), (3.18245, 3), (-3.18245, 3), (2.77645, 4), (2.228139, 10), (-1.983972, 100)]
+    df = spark.createDataFrame(points, "t double, df int")
     for row in df.select(t_two_sided(F.col("t"), F.col("df")).alias("p")).collect():
         assert row["p"] == pytest.approx(0.05, abs=1e-5)
 
@@ -60,10 +61,17 @@ def test_closure_follows_chains_and_refuses_loops(spark):
     chain = _edges(spark, list(zip("ABCDEF", "BCDEFG")))
     closed = {(r["org_from"], r["org_to"]) for r in reference.successor_closure(orgs, chain).collect()}
     assert closed == {(c, "G") for c in "ABCDEFG"} | {("H", "H")}
-    with pytest.raises(Exception, match="too long"):
+    with pytest.raises(ValueError, match="loop"):
         reference.successor_closure(orgs, _edges(spark, [("A", "B"), ("B", "A")])).collect()
 
 
+def test_closure_of_twenty_mergers(spark):
+    names = [f"O{k:02d}" for k in range(21)]
+    orgs = spark.createDataFrame([(c, "RO197") for c in names], ORGS)
+    closed = reference.successor_closure(orgs, _edges(spark, list(zip(names, names[1:])))).collect()
+    assert {(r["org_from"], r["org_to"]) for r in closed} == {(c, "O20") for c in names}
+
+
 def test_skipped_edge(spark):
     orgs = spark.createDataFrame([(c, "RO197") for c in ("RW6", "R0A", "RM3")], ORGS)
     edges = _edges(spark, [("RW6", "R0A"), ("RW6", "RM3")])
@@ -209,6 +217,6 @@ def test_rule_files(spark, tmp_path):
     (tmp_path / "alcohol.json").write_text(json.dumps(table, indent=1))
     rules = readers.read_alcohol_rules(spark, str(tmp_path / "alcohol.json"), "acute")
     assert [(r["sex"], r["outcome"], r["low"], r["high"], r["rate"]) for r in rules] == [
-        ("1", "mortality", 16, 24, 0.5), ("2", "mortality", 25, 120, 1.0),
-        ("1", "morbidity", 16, 24, 0.5), ("2", "morbidity", 25, 120, 1.0),
+        ("1", "mortality", 16, 24, 0.5), ("2", "mortality", 25, None, 1.0),
+        ("1", "morbidity", 16, 24, 0.5), ("2", "morbidity", 25, None, 1.0),
     ]

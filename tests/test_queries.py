@@ -38,6 +38,8 @@ def _plain(value):
         return ""
     if isinstance(value, str):
         return value
+    if isinstance(value, (list, tuple)):
+        return "|".join(map(_plain, value))
     return f"{float(value) + 0.0:.5f}"
 
 
