@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortlake.functions.materialise import materialise
@@ -42,22 +42,26 @@ def left_join_known(
     )
 
 
-def rank_all(df: DataFrame, cells: Sequence[Column], order: Sequence[Column], name: str) -> DataFrame:
-    """Number all rows 1..n in one global order without one task that sees them all.
+def rank_all(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
+    """Number all rows 1..n in one global order, without one task or partition that must hold a tie.
 
-    `cells` are leading columns of the same order that cut it into consecutive runs. Runs are
-    counted (a small table), their starts are summed up, and rows are numbered within their run.
+    Rows are dealt into ranges of the order, which must be complete, and written sorted; each range
+    starts where the ones before it end. Only the sizes of the ranges reach the driver.
     """
-    keys = [f"_cell{i}" for i in range(len(cells))]
-    order_within = [F.col(k) for k in keys]
-    df = df.select("*", *[c.alias(k) for c, k in zip(cells, keys)])
-    runs = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy(*order_within).rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    within = Window.partitionBy(*keys).orderBy(*order)
+    spark = df.sparkSession
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = materialise(ranged.withColumn("_row", F.monotonically_increasing_id()))
+    part, within = F.shiftright("_row", 33), F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
+    starts, total = [], 0
+    for row in ranged.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).orderBy("part").toLocalIterator():
+        starts.append((row["part"], total))
+        total += row["n"]
+    if not starts:
+        return ranged.withColumn(name, F.col("_row")).drop("_row")
+    start = spark.createDataFrame(starts, "_part bigint, _start bigint")
     return (
-        df.withColumn("_row", F.row_number().over(within))
-        .join(runs, keys)
-        .withColumn(name, (F.col("_before") + F.col("_row")).cast("long"))
-        .drop("_row", "_before", *keys)
+        ranged.withColumn("_part", part)
+        .join(F.broadcast(start), "_part")
+        .withColumn(name, F.col("_start") + within + 1)
+        .drop("_part", "_start", "_row")
     )

@@ -84,11 +84,8 @@ def sample_to_size(df: DataFrame, key: str, target: int, seed: int) -> DataFrame
 
 def coded_labels(df: DataFrame, code: str = "sushrg_trimmed", prefix: str = "HRG", name: str = "label") -> DataFrame:
     """`HRG1`, `HRG2`, ... for the codes by falling frequency (ties: by code)."""
-    counts = materialise(
-        df.filter(F.col(code).isNotNull()).groupBy(code).agg(F.count(F.lit(1)).alias("_n"))
-    )
-    size = -F.floor(F.log2("_n"))
-    ranked = rank_all(counts, cells=[size, -F.col("_n")], order=[F.col(code)], name="_rank")
+    counts = df.filter(F.col(code).isNotNull()).groupBy(code).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = rank_all(counts, order=[F.desc("_n"), F.col(code)], name="_rank")
     return ranked.select(code, F.concat(F.lit(prefix), F.col("_rank").cast("string")).alias(name))
 
 

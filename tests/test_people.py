@@ -3,6 +3,7 @@
 import random
 from datetime import date, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from cohortlake.functions.skew import left_join_known, rank_all
@@ -105,10 +106,12 @@ def test_left_join_with_unknown_keys(spark):
     assert {(r["id"], r["v"]) for r in joined.collect()} == {(1, 10), (2, None), (3, None), (4, None)}
 
 
-def test_rank_all(spark):
+@pytest.mark.parametrize("top", [9, 2])
+def test_rank_all(spark, top):
     rng = random.Random(4)
-    rows = [(f"c{i:03d}", rng.randrange(1, 9)) for i in range(200)]
+    rows = [(f"c{i:03d}", rng.randrange(1, top)) for i in range(200)]
     df = spark.createDataFrame(rows, "code string, n long")
-    ranked = rank_all(df, cells=[-F.floor(F.log2("n")), -F.col("n")], order=[F.col("code")], name="rank")
+    ranked = rank_all(df, order=[F.desc("n"), F.col("code")], name="rank")
+    assert "SinglePartition" not in ranked._jdf.queryExecution().toString()
     expected = {c: i for i, (c, _) in enumerate(sorted(rows, key=lambda r: (-r[1], r[0])), 1)}
     assert {r["code"]: r["rank"] for r in ranked.collect()} == expected
