@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.registry import check
 from checks.views import VARIANTS
+from cohortlake.functions.expressions import fyear_of_year
 from cohortlake.functions.materialise import scratch_folder
 from cohortlake.operators import curves
 from cohortlake.operators import extracts as ex
@@ -326,11 +327,11 @@ def icb_curve_rates(v):
     return curves.icb_rates(*extracts_of(v), people_of(v, icb, "icb"), CURVE_YEARS)
 
 
-@check(
-    "mod_10_icb_rates",
-    f"""WITH {activity_sql("", "icb,")}, {rates_sql(
-        "icb", f"SELECT {ICB_OF} AS icb, age, sex, fyear // 100 AS fyear, sum(population) AS pop FROM v_pop_provider WHERE age >= 18 AND fyear // 100 IN (2018, 2019, 2020) GROUP BY ALL")}""",
-)
+ICB_RATES = f"""WITH {activity_sql("", "icb,")}, {rates_sql(
+        "icb", f"SELECT {ICB_OF} AS icb, age, sex, fyear // 100 AS fyear, sum(population) AS pop FROM v_pop_provider WHERE age >= 18 AND fyear // 100 IN (2018, 2019, 2020) GROUP BY ALL")}"""
+
+
+@check("mod_10_icb_rates", ICB_RATES)
 def _(v):
     return icb_curve_rates(v)
 
@@ -343,12 +344,12 @@ def national_curve_rates(v):
     return curves.national_rates(*extracts_of(v), projections, CURVE_YEARS)
 
 
-@check(
-    "mod_11_national_rates",
-    f"""WITH {activity_sql("", "")}, people AS (SELECT fyear // 100 AS fyear, age, sex, sum(population) AS pop FROM v_pop_lad
+NATIONAL_RATES = f"""WITH {activity_sql("", "")}, people AS (SELECT fyear // 100 AS fyear, age, sex, sum(population) AS pop FROM v_pop_lad
           WHERE age >= 18 AND regexp_matches(lad23cd, '^E0[6-9]') GROUP BY ALL)
-        SELECT a.hsagrp, a.sex, a.fyear, a.age, round(a.n / nullif(p.pop, 0), 6) AS activity_rate FROM activity a JOIN people p USING (fyear, age, sex)""",
-)
+        SELECT a.hsagrp, a.sex, a.fyear, a.age, round(a.n / nullif(p.pop, 0), 6) AS activity_rate FROM activity a JOIN people p USING (fyear, age, sex)"""
+
+
+@check("mod_11_national_rates", NATIONAL_RATES)
 def _(v):
     return national_curve_rates(v)
 
@@ -368,6 +369,42 @@ def _(v):
     return curves.fit_curves(national_curve_rates(v), ["hsagrp", "sex", "fyear"])
 
 
+def _moments(v, rates, keys):
+    """A fit with a second-difference penalty leaves lines free: residuals sum to zero, also when weighted by age."""
+    fitted = curves.fit_curves(rates, keys).withColumnRenamed("activity", "_fitted")
+    known = rates.filter(F.col("activity_rate").isNotNull()).withColumn("fyear", fyear_of_year(F.col("fyear")))
+    gap, size = F.col("activity_rate") - F.col("_fitted"), F.sum(F.abs("activity_rate")) + 1e-9
+    return (
+        known.join(fitted, [*keys, "age"])
+        .groupBy(*keys)
+        .agg(
+            F.count("*").alias("points"),
+            (F.abs(F.sum(gap)) < 1e-6 * size).cast("int").alias("level_kept"),
+            (F.abs(F.sum(gap * F.col("age"))) < 1e-4 * size).cast("int").alias("slope_kept"),
+        )
+    )
+
+
+def _moments_sql(rates: str, keys: str) -> str:
+    return f"""SELECT {keys} fyear * 100 + (fyear + 1) % 100 AS fyear, count(activity_rate) AS points, 1 AS level_kept, 1 AS slope_kept
+        FROM ({rates}) r WHERE activity_rate IS NOT NULL GROUP BY ALL"""
+
+
+@check("mod_12_moments_provider", _moments_sql(PROVIDER_RATES, "dataset, hsagrp, sex,"))
+def _(v):
+    return _moments(v, provider_curve_rates(v), ["dataset", "hsagrp", "sex", "fyear"])
+
+
+@check("mod_12_moments_icb", _moments_sql(ICB_RATES, "icb, hsagrp, sex,"))
+def _(v):
+    return _moments(v, icb_curve_rates(v), ["icb", "hsagrp", "sex", "fyear"])
+
+
+@check("mod_12_moments_national", _moments_sql(NATIONAL_RATES, "hsagrp, sex,"))
+def _(v):
+    return _moments(v, national_curve_rates(v), ["hsagrp", "sex", "fyear"])
+
+
 # --- release -------------------------------------------------------------------------------------
 STRATA = 'age_group, sex, classpat, tretspef, hsagrp, "group"'
 LARGE = f"large AS (SELECT {STRATA}, count(*) AS count FROM v_ip GROUP BY ALL HAVING count(*) >= 10)"

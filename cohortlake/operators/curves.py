@@ -129,10 +129,13 @@ def _basis(x: np.ndarray, low: float, high: float) -> np.ndarray:
     return values + (x - np.clip(x, low, high))[:, None] * slopes
 
 
-def smooth_curve(ages: np.ndarray, rates: np.ndarray, weights: np.ndarray, at: np.ndarray) -> np.ndarray:
+def smooth_curve(
+    ages: np.ndarray, rates: np.ndarray, weights: np.ndarray, at: np.ndarray, spread: float = 0.0
+) -> np.ndarray:
     """Penalised spline through the rates, evaluated at the ages `at`.
 
-    The second-difference penalty is chosen from a grid by generalised cross-validation.
+    The second-difference penalty is chosen from a grid by generalised cross-validation. `weights` are the
+    rows behind each rate, `spread` the sum of their squared distances from it.
     """
     if np.unique(ages).size < 2:
         return np.full(at.shape, np.average(rates, weights=weights))
@@ -148,7 +151,7 @@ def smooth_curve(ages: np.ndarray, rates: np.ndarray, weights: np.ndarray, at: n
         inverse = np.linalg.pinv(gram + strength * second.T @ second + ridge)
         coefficients = inverse @ target
         freedom = np.trace(inverse @ gram)
-        error = float(np.sum(weights * (rates - design @ coefficients) ** 2))
+        error = spread + float(np.sum(weights * (rates - design @ coefficients) ** 2))
         score = n * error / max(n - GCV_WEIGHT * freedom, 1e-9) ** 2
         if best is None or score < best[0]:
             best = (score, coefficients)
@@ -163,7 +166,9 @@ def fit_curves(rates: DataFrame, keys: Sequence[str], last_age: int = 100) -> Da
     """
     keys = list(keys)
     per_age = rates.groupBy(*keys, "age").agg(
-        F.avg("activity_rate").alias("rate"), F.count("activity_rate").cast("double").alias("weight")
+        F.avg("activity_rate").alias("rate"),
+        F.count("activity_rate").cast("double").alias("weight"),
+        (F.var_pop("activity_rate") * F.count("activity_rate")).alias("spread"),
     )
     fields = {f.name: f for f in rates.schema.fields}
     schema = T.StructType(
@@ -175,7 +180,11 @@ def fit_curves(rates: DataFrame, keys: Sequence[str], last_age: int = 100) -> Da
         group = group.sort_values("age")
         at = np.arange(last_age + 1)
         curve = smooth_curve(
-            group["age"].to_numpy(), group["rate"].to_numpy(float), group["weight"].to_numpy(float), at
+            group["age"].to_numpy(),
+            group["rate"].to_numpy(float),
+            group["weight"].to_numpy(float),
+            at,
+            float(group["spread"].sum()),
         )
         return pd.DataFrame({**{k: group[k].iloc[0] for k in keys}, "age": at.astype("int32"), "activity": curve})
 
