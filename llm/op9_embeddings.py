@@ -338,6 +338,20 @@ def op9_embeddings(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+SQL = f"""
+WITH RECURSIVE e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+n AS (
+    SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS norm FROM e
+    WHERE len(v) > 0 AND list_count(v) = len(v) AND isfinite(list_sum(v)) AND list_dot_product(v, v) > 0),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+    WHERE list_dot_product(a.v, b.v) / (a.norm * b.norm) >= {COSINE}),
+reach(a, b) AS (SELECT vec_id, vec_id FROM e UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+roots AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY 1),
+counts AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY 1)
+SELECT e.vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, e.vec_id = component_id AS kept
+FROM e JOIN roots USING (vec_id) LEFT JOIN counts USING (vec_id)
+"""
 
 QUERIES = {"op9_embeddings": op9_embeddings}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op9_embeddings": SQL}

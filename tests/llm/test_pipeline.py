@@ -24,7 +24,7 @@ def test_names():
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_sql(spark, name):
     base = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "embeddings"):
         base.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     want = base.execute(ORACLES[name])
     columns = [c[0] for c in want.description]
