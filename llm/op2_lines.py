@@ -31,7 +31,7 @@ BLOCK_BITS = 16
 BATCH_BYTES = 2 << 20
 #: Lines of one word compared in one task, and candidates (near certain, any) after which a look-up stops.
 PIECE = 8192
-ENOUGH = (1, 64)
+ENOUGH = (2, 64)
 #: Differing words up to which the 64-bit bitmaps of unrelated sets are nearly always further apart.
 SURE = 16
 NEWLINE = 0x0A
@@ -439,21 +439,13 @@ def removed_lines(docs: DataFrame, doc: str, text: str, mark: str) -> DataFrame:
     counts = docs.sparkSession.sparkContext.broadcast(Counts.gather(source, text))
     lines = materialise(_lines(source, counts, doc, text, mark))
     postings = _postings(lines)
-    line, other = ["doc", "place"], ["to_doc", "to_place"]
     pairs = materialise(
-        _candidates(postings, ENOUGH)
-        .groupBy(*line, *other)
-        .agg(F.max("more").alias("more"), F.count(F.lit(1)).alias("votes"))
+        _candidates(postings, ENOUGH).groupBy("doc", "place", "to_doc", "to_place").agg(F.max("more").alias("more"))
     )
-    # The candidate that shares most prefix words first: it settles nearly all lines that have a match.
-    best = pairs.groupBy(*line).agg(F.max(F.struct("votes", *other)).alias("best"))
-    similar = materialise(_verified(materialise(best.select(*line, *[f"best.{c}" for c in other])), source, doc, text, mark))
+    similar = materialise(_verified(pairs.drop("more"), source, doc, text, mark))
     same = lambda a, b: F.col(f"{a}.doc").eqNullSafe(F.col(f"{b}.doc")) & (F.col(f"{a}.place") == F.col(f"{b}.place"))
-    unsettled = materialise(pairs.alias("o").join(similar.alias("s"), same("o", "s"), "left_anti"))
-    second = materialise(_verified(unsettled.select(*line, *other), source, doc, text, mark))
-    similar = similar.unionByName(second)
-    open_ = unsettled.where("more").select(*line).distinct().alias("o").join(second.alias("s"), same("o", "s"), "left_anti")
-    open_ = materialise(open_)
+    asking = pairs.where("more").select("doc", "place").distinct()
+    open_ = materialise(asking.alias("o").join(similar.alias("s"), same("o", "s"), "left_anti"))
     if not open_.isEmpty():
         asked = _postings(_only(lines, open_)).alias("p").join(open_.withColumn("ask", F.lit(True)).alias("o"), same("p", "o"), "left")
         asked = asked.select("p.*", F.coalesce("ask", F.lit(False)).alias("ask"))
