@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 
 from cohortlake.functions import materialise as shared
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Settings for the jobs that write intermediate tables: shuffle files go when the job ends, and batches of long
+#: texts stay small in the JVM and in Python.
+SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+}
 
 __all__ = ["crc_part", "materialise", "own", "table"]
 
@@ -20,12 +25,14 @@ def materialise(df: DataFrame) -> DataFrame:
     The shuffle files of the job are released when it ends, as nothing reads them again.
     """
     conf = df.sparkSession.conf
-    before = conf.get(CLEANUP)
-    conf.set(CLEANUP, "true")
+    before = {key: conf.get(key) for key in SETTINGS}
     try:
+        for key, value in SETTINGS.items():
+            conf.set(key, value)
         return shared.materialise(df)
     finally:
-        conf.set(CLEANUP, before)
+        for key, value in before.items():
+            conf.set(key, value)
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:

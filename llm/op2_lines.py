@@ -28,7 +28,7 @@ from llm.text import IS_SPACED_WORD, mix, string_buffers, weigh, words
 SIMILAR = (4, 5)
 BUCKET_BITS = 22
 BLOCK_BITS = 16
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 #: Lines of one word compared in one task, and candidates (near certain, any) after which a look-up stops.
 PIECE = 8192
 ENOUGH = (2, 64)
@@ -66,7 +66,7 @@ class Counts:
         """Counted over all texts. Tasks emit what they saw in blocks, and blocks are added up in two steps."""
 
         def count(batches):
-            counts = np.zeros(1 << BUCKET_BITS, np.int64)
+            counts = np.zeros(1 << BUCKET_BITS, np.uint32)
             for batch in batches:
                 for part in weigh([batch], text, BATCH_BYTES):
                     np.add.at(counts, Counts.bucket(words(part.column(text), IS_SPACED_WORD).hashes()), 1)
@@ -78,7 +78,7 @@ class Counts:
                     pa.array([k for k, _ in rows], pa.int32()),
                     pa.array([salt] * len(rows), pa.int32()),
                     pa.array([at.astype(np.uint16).tobytes() for _, at in rows], pa.binary()),
-                    pa.array([blocks[k][at].tobytes() for k, at in rows], pa.binary()),
+                    pa.array([blocks[k][at].astype(np.int64).tobytes() for k, at in rows], pa.binary()),
                 ],
                 names=["block", "salt", "places", "counts"],
             )
