@@ -3,9 +3,9 @@
 The hidden states emit classes of words: each frequent word is a class, others share one with words of the
 same ending, and the end of a text is one. A word has the probability of its class, given the states, times its
 share in the class. Word counts come from all training texts. Baum-Welch runs on all of them too: a task
-turns its texts into expected counts, which are added up across partitions. The first rounds use a bounded sample
-only, to start the last rounds well. Texts are scored by the exact, scaled forward recursion; that of a long text is
-cut into pieces, whose products of transition matrices are computed side by side and then chained.
+turns its texts into expected counts, which are added up across partitions. Texts are scored by the exact, scaled
+forward recursion; that of a long text is cut into pieces, whose products of transition matrices are computed side by
+side and then chained.
 """
 
 from __future__ import annotations
@@ -26,8 +26,8 @@ STATES = 8
 FREQUENT, ENDINGS = 2047, 2048
 CLASSES = 1 + FREQUENT + ENDINGS
 ENDING_BYTES = 3
-#: Rounds on a sample of about so many tokens, then rounds on all.
-SAMPLE_TOKENS, SAMPLE_ROUNDS, ROUNDS = 2_000_000, 10, 2
+#: Rounds of Baum-Welch, each on all training texts.
+ROUNDS = 12
 #: Tokens in a window of training and in a piece of scoring.
 WINDOW, PIECE = 256, 256
 #: Text read at a time; text and distinct words of a chunk, and words in a bucket, about.
@@ -493,19 +493,12 @@ def _round(texts: DataFrame, model: Model, unigram: np.ndarray) -> Model:
 
 
 def train(texts: DataFrame, counts: Counts) -> Model:
-    """Rounds on a sample of texts picked by a hash of their classes, then on all training texts."""
+    """Every round is on all training texts."""
     unigram = counts.unigram()
     model = Model.begin(unigram)
     if not counts.texts:
         return model
     known = texts.where(~F.col("held"))
-    if counts.tokens > SAMPLE_TOKENS:
-        part = F.pmod(F.xxhash64("classes"), F.lit(1 << 20))
-        sample = materialise(known.where(part < int((1 << 20) * SAMPLE_TOKENS / counts.tokens)).select("classes"))
-    else:
-        sample = known
-    for _ in range(SAMPLE_ROUNDS):
-        model = _round(sample, model, unigram)
     for _ in range(ROUNDS):
         model = _round(known, model, unigram)
     return model

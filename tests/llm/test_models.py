@@ -74,6 +74,21 @@ def test_training_rounds_never_lower_the_likelihood(monkeypatch):
     assert last > 1.1 * np.log10(1 / 12) * 30 * 40 and last > np.log10(1 / 12) * 30 * 40
 
 
+def test_all_rounds_see_all_training_texts(spark, monkeypatch):
+    seen = []
+
+    def count(texts, model, _):
+        seen.append(texts.count())
+        return model
+
+    monkeypatch.setattr(op4_hmm, "_round", count)
+    zeros = np.zeros(op4_hmm.CLASSES)
+    counts = op4_hmm.Counts(10**9, 2, 900, np.zeros(0, np.uint64), zeros, zeros)
+    texts = spark.range(1000).selectExpr("id % 10 = 0 AS held", "CAST(CAST(id AS STRING) AS BINARY) AS classes")
+    op4_hmm.train(texts, counts)
+    assert seen == [900] * 12
+
+
 def plain_base(rows):
     tokens = {k: [w.decode() for w in (t or "").encode().lower().split()] + [None] for k, (_, t) in enumerate(rows)}
     held = {k: zlib.crc32(("" if i is None else str(i)).encode()) % 10 == 0 for k, (i, _) in enumerate(rows)}
