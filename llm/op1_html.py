@@ -1,7 +1,7 @@
 """Main text of web pages by a maximum-scoring subsequence of their tokens.
 
 A page is read as a sequence of words and tags. Words score by where they stand (kind of block, link, size
-of the block, signs of boilerplate), tags score below zero. The weights are log odds learned from pages that
+of the block, signs of boilerplate, being in an `article` or `main`), tags score below zero. The weights are log odds learned from pages that
 label themselves with an `article` or `main` element. One linear scan finds the contiguous region of highest
 score; its blocks, without those marked as boilerplate inside it, are the text.
 """
@@ -162,8 +162,10 @@ def block_sizes(page: Page) -> Counter:
     return sizes
 
 
-def word_features(run: Run, words_in_block: int) -> tuple[str, ...]:
-    return (f"b:{run.kind}", f"l:{int(run.link)}", size_class(words_in_block), f"a:{int(run.aside)}")
+def word_features(page: Page, run: Run, words_in_block: int) -> tuple[str, ...]:
+    found = (f"b:{run.kind}", f"l:{int(run.link)}", size_class(words_in_block), f"a:{int(run.aside)}")
+    # Not being in an article says something only where there is one.
+    return (*found, f"r:{int(run.article)}") if page.has_article else found
 
 
 def count_features(page: Page) -> Counter:
@@ -175,7 +177,7 @@ def count_features(page: Page) -> Counter:
         if run.tag and not run.aside:
             out[f"t:{run.tag}", inside] += 1
         elif run.words:
-            for feature in word_features(run, sizes[run.block]):
+            for feature in word_features(page, run, sizes[run.block]):
                 # What is boilerplate by its mark says nothing against the kind of block it is in.
                 if not (run.aside and feature[0] == "b"):
                     out[feature, inside] += run.words
@@ -206,11 +208,9 @@ class Weights:
         return max(-1.0, min(-0.02, 0.2 * self.odds.get(f"t:{name}", -1.0)))
 
     def word(self, page: Page, run: Run, words_in_block: int) -> float:
-        """Score of each word of a run. On a page with an article, its words count and others don't."""
-        learned = sum(max(-3.0, min(3.0, self.odds.get(f, 0.5))) for f in word_features(run, words_in_block)) / 4
-        if page.has_article:
-            return max(0.5, learned) if run.article else min(-0.5, learned)
-        return learned
+        """Score of each word of a run."""
+        features = word_features(page, run, words_in_block)
+        return sum(max(-3.0, min(3.0, self.odds.get(f, 0.5))) for f in features) / len(features)
 
 
 def main_text(html: str | None, weights: Weights) -> str:
@@ -239,7 +239,7 @@ def main_text(html: str | None, weights: Weights) -> str:
     blocks: dict[int, list[str]] = {}
     whole = {run.block for run, score in zip(page.runs[best_begin:best_end], scores[best_begin:best_end]) if score > 0}
     for run in page.runs:
-        if not run.tag and not run.aside and run.block in whole and (run.article or not page.has_article):
+        if not run.tag and not run.aside and run.block in whole:
             blocks.setdefault(run.block, []).append(run.text)
     joined = (" ".join("".join(parts).split()) for parts in blocks.values())
     return "\n\n".join(b for b in joined if b)

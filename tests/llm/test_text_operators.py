@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import pytest
 import xxhash
@@ -385,6 +386,32 @@ def test_all_pages_give_their_article(spark):
         assert row.text == "\n\n".join(t for t in texts if t) and row.n_chars == len(row.text)
 
 
+@pytest.fixture(scope="module")
+def page_weights(spark):
+    counts: Counter = Counter()
+    for row in spark.read.parquet(f"{SMALL}/pages.parquet").collect():
+        counts.update(op1_html.count_features(op1_html.read(row.html)))
+    return op1_html.Weights.fit(counts)
+
+
+STORY = ["Part %d " % k + " ".join(f"word{j}" for j in range(60)) for k in range(3)]
+
+
+def test_story_in_a_div_beside_teaser_articles(page_weights):
+    teasers = "".join(f"<article><h3><a href=x{k}>Read this too</a></h3></article>" for k in range(4))
+    page = f"<body>{teasers}<div>{''.join(f'<p>{s}</p>' for s in STORY)}</div>{teasers}</body>"
+    text = op1_html.main_text(page, page_weights)
+    assert all(s in text for s in STORY)
+    page = f"<body><div>{' '.join(STORY)}</div>{teasers}</body>"
+    assert " ".join(STORY) in op1_html.main_text(page, page_weights)
+
+
+def test_story_in_several_articles(page_weights):
+    page = "<div>Some short words here</div>".join(f"<article><p>{s}</p></article>" for s in STORY)
+    text = op1_html.main_text(f"<body>{page}</body>", page_weights)
+    assert text.split("\n\n") == STORY
+
+
 def test_crc_parts(spark):
     from llm.frames import crc_part
 
