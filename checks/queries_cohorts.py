@@ -8,6 +8,7 @@ from cohortlake.operators import cohorts as co
 from cohortlake.operators import conditions as cond
 from cohortlake.operators import records_op as op
 from cohortlake.operators.rules import standard_rules
+from cohortlake.plans.jobs import assemble
 
 POSITION = {"any": "", "primary": " AND {} = 1", "secondary": " AND {} > 1"}
 
@@ -125,11 +126,6 @@ def _(v):
     return co.has_not(v.ip, v.dx, v.px, OPERATED).select("epikey", "fyear")
 
 
-@check("coh_04_assembly", " UNION ALL ".join(rule_sql(r) for r in RULES))
-def _(v):
-    return co.tag(v.ip, v.dx, v.px, RULES)
-
-
 @check(
     "coh_17_evidence_based_wrapper",
     "SELECT strategy, count(*) AS n, count(DISTINCT epikey) AS spells FROM ("
@@ -142,6 +138,15 @@ def _(v):
     return tagged.groupBy("strategy").agg(F.count("*").alias("n"), F.countDistinct("epikey").alias("spells"))
 
 
+#: SQL of the cohorts that are no rules, for the assembly.
+OTHERS: list[str] = []
+
+
+def _cohort(name: str, oracle: str):
+    OTHERS.append(oracle)
+    return check(name, oracle)
+
+
 def _members(select: str, kind: str, strategy: str, rate: str) -> str:
     return f"SELECT fyear, provider, epikey, '{kind}' AS type, '{strategy}' AS strategy, {rate} AS sample_rate FROM ({select}) m"
 
@@ -156,7 +161,7 @@ def _alcohol(group: str) -> None:
       JOIN (VALUES {rows}) r(pattern, sex, outcome, low, high, rate) ON regexp_matches(d.diagnosis, r.pattern) AND r.sex = s.sex
         AND s.age >= r.low AND (r.high IS NULL OR s.age <= r.high) AND r.outcome = CASE WHEN s.dismeth = '4' THEN 'mortality' ELSE 'morbidity' END GROUP BY ALL"""
 
-    @check(f"coh_11_{strategy}", _members(select, "activity_avoidance", strategy, "rate"))
+    @_cohort(f"coh_11_{strategy}", _members(select, "activity_avoidance", strategy, "rate"))
     def _(v):
         return co.alcohol_partly(v.ip, v.dx, rules, strategy)
 
@@ -189,7 +194,7 @@ def _(v):
 def _frail(level: str, where: str) -> None:
     strategy = f"frail_elderly_{level}"
 
-    @check(
+    @_cohort(
         f"coh_30_{strategy}",
         FRAILTY_SQL + _members(f"SELECT * FROM frail WHERE {where}", "activity_avoidance", strategy, "1.0::DOUBLE"),
     )
@@ -201,7 +206,7 @@ _frail("intermediate", "score BETWEEN 50 AND 150")
 _frail("high", "score > 150")
 
 
-@check(
+@_cohort(
     "coh_34_obesity_related_admissions",
     _members(
         "SELECT s.fyear, s.provider, s.epikey, o.fraction FROM v_ip s JOIN v_dx d ON d.epikey = s.epikey AND d.fyear = s.fyear "
@@ -215,7 +220,7 @@ def _(v):
     return co.obesity(v.ip, v.dx, v.obesity)
 
 
-@check(
+@_cohort(
     "coh_35_readmission_within_28_days",
     _members(
         """SELECT r.fyear, r.provider, r.epikey FROM v_ip r WHERE r.admimeth LIKE '2%' AND EXISTS (
@@ -231,7 +236,7 @@ def _(v):
     return co.readmissions(v.ip, v.apc)
 
 
-@check(
+@_cohort(
     "coh_36_smoking",
     _members(
         f"""SELECT s.fyear, s.provider, s.epikey, max(r.rate) AS rate FROM v_ip s JOIN v_dx d ON d.epikey = s.epikey AND d.fyear = s.fyear
@@ -246,12 +251,20 @@ def _(v):
     return co.smoking(v.ip, v.dx, tables.SMOKING)
 
 
+def _day_codes(v):
+    names = F.array(*[F.lit(f"day_procedures_{k}") for k in ("usually_dc", "usually_op", "occasionally_dc", "occasionally_op")])
+    return v.day_code.select(
+        F.get(names, F.ascii("procedure_code") % 4).alias("strategy"),
+        F.substring("procedure_code", 1, 3).alias("procedure_code"),
+    ).distinct()
+
+
 def _day(kind: str) -> None:
     strategy = f"day_procedures_{kind}"
     classes = "('1')" if kind.endswith("dc") else "('1', '2')"
     parity = {"usually_dc": 0, "usually_op": 1, "occasionally_dc": 2, "occasionally_op": 3}[kind]
 
-    @check(
+    @_cohort(
         f"coh_40_{strategy}",
         _members(
             f"""SELECT DISTINCT s.fyear, s.provider, s.epikey FROM v_ip s JOIN v_px p ON p.epikey = s.epikey AND p.fyear = s.fyear
@@ -263,12 +276,7 @@ def _day(kind: str) -> None:
         ),
     )
     def _(v):
-        names = F.array(*[F.lit(f"day_procedures_{k}") for k in ("usually_dc", "usually_op", "occasionally_dc", "occasionally_op")])
-        codes = v.day_code.select(
-            F.get(names, F.ascii("procedure_code") % 4).alias("strategy"),
-            F.substring("procedure_code", 1, 3).alias("procedure_code"),
-        ).distinct()
-        return co.day_procedures(v.ip, v.px, codes).filter(F.col("strategy") == strategy)
+        return co.day_procedures(v.ip, v.px, _day_codes(v)).filter(F.col("strategy") == strategy)
 
 
 for _kind in ("usually_dc", "usually_op", "occasionally_dc", "occasionally_op"):
@@ -278,7 +286,7 @@ for _kind in ("usually_dc", "usually_op", "occasionally_dc", "occasionally_op"):
 def _excess(kind: str, digit: str) -> None:
     strategy = f"excess_beddays_{kind}"
 
-    @check(
+    @_cohort(
         f"coh_44_{strategy}",
         _members(
             f"SELECT s.* FROM v_ip s JOIN v_trimpoint t USING (sushrg) WHERE s.admimeth LIKE '{digit}%' AND s.speldur > t.{kind}",
@@ -296,7 +304,7 @@ _excess("emergency", "2")
 
 
 def _preop(days: int, name: str) -> None:
-    @check(
+    @_cohort(
         f"coh_45_{name.replace('-', '_')}",
         _members(
             f"""SELECT DISTINCT s.fyear, s.provider, s.epikey FROM v_ip s JOIN v_px p ON p.epikey = s.epikey
@@ -323,7 +331,7 @@ def _sdec(level: str) -> None:
         f"(regexp_matches(s.sushrg, '{r['hrg']}') AND regexp_matches(d.diagnosis, '{r['icd10']}'))" for r in rules if r["level"] == level
     )
 
-    @check(
+    @_cohort(
         f"coh_47_{strategy}",
         _members(
             f"""SELECT DISTINCT s.fyear, s.provider, s.epikey FROM v_ip s JOIN v_dx d ON d.epikey = s.epikey AND d.fyear = s.fyear
@@ -341,6 +349,16 @@ for _level in ("low", "moderate", "high", "very high"):
     _sdec(_level)
 
 
+@check("coh_04_assembly", " UNION ALL ".join([*map(rule_sql, RULES), *(f"SELECT * FROM ({sql}) o" for sql in OTHERS)]))
+def _(v):
+    """All inpatient cohorts: those of the rules and all others."""
+    points = v.spark.createDataFrame(tables.FRAILTY, "icd10 string, score double")
+    alcohol = {group: co.alcohol_rules(tables.ALCOHOL, group) for group in ("chronic", "acute")}
+    return assemble(
+        v.ip, v.apc, v.dx, v.px, points, v.obesity, _day_codes(v), v.trimpoint, alcohol, tables.SMOKING, co.sdec_rules(tables.SDEC)
+    )
+
+
 # --- outpatient cohorts --------------------------------------------------------------------------
 OP_WHERE = {
     60: ("followup_reduction", "NOT has_procedures AND NOT is_first"),

@@ -92,24 +92,28 @@ def emergency(spark: SparkSession, tables: Tables) -> None:
     write_partitioned(records_ae.ae_rollup(tables.built(spark, "ae")), tables.path("ae_rollup"), ATTENDANCE)
 
 
-def inpatient_cohorts(
-    spark: SparkSession,
-    tables: Tables,
+def assemble(
+    ip: DataFrame,
+    apc: DataFrame,
+    diagnoses: DataFrame,
+    procedures: DataFrame,
+    frailty: DataFrame,
+    obesity: DataFrame,
+    day_codes: DataFrame,
+    trimpoints: DataFrame,
     alcohol: Mapping[str, Sequence[Mapping]],
     smoking: Sequence[Mapping],
     sdec: Sequence[Mapping],
-) -> None:
-    """All inpatient cohorts in one table. The rule lists come from the readers."""
-    ip, apc = tables.built(spark, "ip"), tables.read(spark, "apc")
-    diagnoses, procedures = tables.read(spark, "apc_diagnoses"), tables.read(spark, "apc_procedures")
+) -> DataFrame:
+    """All inpatient cohorts, one under the other."""
     parts = [
         co.tag(ip, diagnoses, procedures, standard_rules()),
-        co.frail_elderly(co.frailty_scores(ip, apc, diagnoses, tables.read(spark, "frailty_scores"))),
+        co.frail_elderly(co.frailty_scores(ip, apc, diagnoses, frailty)),
         co.readmissions(ip, apc),
-        co.obesity(ip, diagnoses, tables.read(spark, "obesity_fractions")),
+        co.obesity(ip, diagnoses, obesity),
         co.smoking(ip, diagnoses, smoking),
-        co.day_procedures(ip, procedures, tables.built(spark, "day_procedure_codes")),
-        co.excess_beddays(ip, tables.read(spark, "trimpoints")),
+        co.day_procedures(ip, procedures, day_codes),
+        co.excess_beddays(ip, trimpoints),
         co.preop_los(ip, procedures),
         co.same_day_emergency_care(ip, diagnoses, sdec),
     ]
@@ -118,6 +122,26 @@ def inpatient_cohorts(
     everything = parts[0]
     for part in parts[1:]:
         everything = everything.unionByName(part)
+    return everything
+
+
+def inpatient_cohorts(
+    spark: SparkSession,
+    tables: Tables,
+    alcohol: Mapping[str, Sequence[Mapping]],
+    smoking: Sequence[Mapping],
+    sdec: Sequence[Mapping],
+) -> None:
+    """All inpatient cohorts in one table. The rule lists come from the readers."""
+    everything = assemble(
+        tables.built(spark, "ip"),
+        *(tables.read(spark, n) for n in ("apc", "apc_diagnoses", "apc_procedures", "frailty_scores", "obesity_fractions")),
+        tables.built(spark, "day_procedure_codes"),
+        tables.read(spark, "trimpoints"),
+        alcohol,
+        smoking,
+        sdec,
+    )
     write_partitioned(everything, tables.path("ip_cohorts"), ATTENDANCE, ("strategy", "epikey"))
 
 
