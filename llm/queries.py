@@ -15,6 +15,7 @@ MODULES = [
     "op8_toxicity",
     "op9_embeddings",
     "op10_substrings",
+    "op11_search",
 ]
 
 QUERIES: dict = {}
