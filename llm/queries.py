@@ -16,6 +16,7 @@ MODULES = [
     "op9_embeddings",
     "op10_substrings",
     "op11_search",
+    "op12_mix",
     "op13_collocations",
 ]
 

@@ -18,7 +18,7 @@ def test_names():
     assert sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0])) == [
         "op1_html", "op2_lines", "op3_bpe", "op4_hmm", "op5_decontaminate",
         "op6_simhash", "op7_language", "op8_toxicity", "op9_embeddings", "op10_substrings",
-        "op11_search", "op13_collocations",
+        "op11_search", "op12_mix", "op13_collocations",
     ]
 
 
