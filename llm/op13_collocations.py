@@ -31,8 +31,10 @@ ABSORBED_PERCENT = 80
 TOP = 2000
 UNKNOWN = "und"
 #: Text bytes that a task takes apart at a time, and distinct n-grams that it sums up before it sends them.
-BATCH_BYTES = 8 << 20
-LOCAL_GRAMS = 4 << 20
+BATCH_BYTES = 4 << 20
+LOCAL_GRAMS = 2 << 20
+#: Hash partitions whose counters make one Arrow batch.
+SENT_TOGETHER = 64
 #: Upper bound of the mass (n-gram occurrences) of one hash partition, as far as hashing is even.
 PARTITION_MASS = 1 << 24
 #: Capacity of a summary as a multiple of mass / threshold.
@@ -56,8 +58,7 @@ def pieces(column: pa.Array) -> tuple[Words, np.ndarray]:
     data = LOWER[data]
     starts, ends = spans(_IS_WORD[data], offsets)
     found = Words(data, starts, ends, np.searchsorted(starts, offsets))
-    breaks = np.cumsum(_IS_BREAK[data], dtype=np.int64)
-    return found, (breaks[starts] if len(starts) else breaks[:0]) + found.text_of()
+    return found, np.searchsorted(np.flatnonzero(_IS_BREAK[data]), starts) + found.text_of()
 
 
 def languages(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
@@ -131,22 +132,23 @@ def _summaries(docs: DataFrame, parts: int) -> DataFrame:
 
     def send(key, count):
         part, low = part_and_key(key, parts)
-        number, first = np.unique(part, return_index=True)
-        cuts = list(zip(first.tolist(), [*first[1:].tolist(), len(key)]))
-        mass = np.add.reduceat(count, first) if len(first) else count
+        numbers, starts = np.unique(part, return_index=True)
+        mass = np.add.reduceat(count, starts) if len(starts) else count
         small = np.minimum(count, 255).astype(np.uint8)
-        big = [count[s:e][small[s:e] == 255] for s, e in cuts]
-        n = len(number)
-        none = pa.nulls(n, pa.binary())
-        yield _rows(number, 0, mass, none, none, none)
-        yield _rows(
-            number,
-            1,
-            np.zeros(n, np.int64),
-            pa.array([low[s:e].tobytes() for s, e in cuts], pa.binary()),
-            pa.array([small[s:e].tobytes() for s, e in cuts], pa.binary()),
-            pa.array([b.tobytes() for b in big], pa.binary()),
-        )
+        ends = np.append(starts[1:], len(key))
+        for k in range(0, len(numbers), SENT_TOGETHER):
+            some = slice(k, k + SENT_TOGETHER)
+            number, cuts = numbers[some], list(zip(starts[some].tolist(), ends[some].tolist()))
+            none = pa.nulls(len(number), pa.binary())
+            yield _rows(number, 0, mass[some], none, none, none)
+            yield _rows(
+                number,
+                1,
+                np.zeros(len(number), np.int64),
+                pa.array([low[s:e].tobytes() for s, e in cuts], pa.binary()),
+                pa.array([small[s:e].tobytes() for s, e in cuts], pa.binary()),
+                pa.array([count[s:e][small[s:e] == 255].tobytes() for s, e in cuts], pa.binary()),
+            )
 
     def run(batches):
         keys, counts, size = [], [], 0
