@@ -12,6 +12,7 @@ be drawn. Within a shard, blocks are ordered by a hash.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from fractions import Fraction
 
@@ -33,8 +34,6 @@ MOST_BLOCKS = 1 << 27
 #: Words in an output shard, unless sources x shards passes the bound of the table that every task gets (32 MB).
 SHARD_WORDS = 1 << 24
 MOST_QUOTAS = 1 << 22
-#: Rows of one source that are put in order together, as far as hashing is even.
-ORDERED_ROWS = 1 << 16
 BATCH_BYTES = 8 << 20
 PIECE = "array<struct<shard:bigint,place:bigint,at:bigint,first:bigint,end:bigint>>"
 
@@ -200,7 +199,8 @@ def _placed(docs: DataFrame, doc_id: str, text: str, source: str, seed: int, sha
         [(r[absent], r[src], i, r["n"], float(t)) for i, (r, t) in enumerate(zip(known, goal))],
         f"{absent} boolean, {src} string, {names.number} long, {names.source_size} long, {names.target} double",
     )
-    buckets = 1 + sum(row["rows"] for row in known) // ORDERED_ROWS
+    # neither the rows of a bucket nor the buckets of a source get many
+    buckets = 1 + math.isqrt(sum(row["rows"] for row in known))
     dealt = F.pmod(F.shiftright(tie, 20), F.lit(buckets))
     sums = small.withColumn(bucket, dealt).groupBy(absent, src, bucket).agg(F.sum(names.size).alias("n"))
     before = Window.partitionBy(absent, src).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)

@@ -171,7 +171,6 @@ def check_mix(rows, out):
 
 @pytest.mark.parametrize("shards, block", [(None, 4096), (5, 3), (3, 1)])
 def test_mix_takes_its_targets(spark, monkeypatch, shards, block):
-    monkeypatch.setattr(op12_mix, "ORDERED_ROWS", 20)
     if block > 1:
         monkeypatch.setattr(op12_mix, "LEAST_BLOCKS", 4)
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").orderBy("doc_id")
