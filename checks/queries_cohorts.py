@@ -1,5 +1,8 @@
 """Cohorts. The oracle of a rule is built here from the same rule data with semi and anti joins."""
 
+import json
+
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from checks import rule_tables as tables
@@ -8,7 +11,7 @@ from cohortlake.operators import cohorts as co
 from cohortlake.operators import conditions as cond
 from cohortlake.operators import records_op as op
 from cohortlake.operators.rules import standard_rules
-from cohortlake.plans.jobs import assemble
+from cohortlake.operators.cohort_pass import Lookups, all_cohorts
 
 POSITION = {"any": "", "primary": " AND {} = 1", "secondary": " AND {} > 1"}
 
@@ -151,8 +154,17 @@ def _members(select: str, kind: str, strategy: str, rate: str) -> str:
     return f"SELECT fyear, provider, epikey, '{kind}' AS type, '{strategy}' AS strategy, {rate} AS sample_rate FROM ({select}) m"
 
 
+def _file(v, content):
+    """A rule file as the readers give it."""
+    return v.spark.createDataFrame(pa.table({"value": [json.dumps(content)]}))
+
+
+def _smoking(v):
+    return v.spark.createDataFrame(pa.Table.from_pylist(tables.SMOKING))
+
+
 def _alcohol(group: str) -> None:
-    rules = co.alcohol_rules(tables.ALCOHOL, group)
+    rules = tables.alcohol_rows(group)
     rows = ", ".join(
         f"('^({r['pattern']})', '{r['sex']}', '{r['outcome']}', {r['low']}, {'NULL' if r['high'] is None else r['high']}, {r['rate']}::DOUBLE)" for r in rules
     )
@@ -163,7 +175,7 @@ def _alcohol(group: str) -> None:
 
     @_cohort(f"coh_11_{strategy}", _members(select, "activity_avoidance", strategy, "rate"))
     def _(v):
-        return co.alcohol_partly(v.ip, v.dx, rules, strategy)
+        return co.alcohol_partly(v.ip, v.dx, co.alcohol_rules(_file(v, tables.ALCOHOL), group), strategy)
 
 
 _alcohol("chronic")
@@ -248,7 +260,7 @@ def _(v):
     ),
 )
 def _(v):
-    return co.smoking(v.ip, v.dx, tables.SMOKING)
+    return co.smoking(v.ip, v.dx, _smoking(v))
 
 
 def _day_codes(v):
@@ -326,7 +338,7 @@ _preop(2, "pre-op_los_2-day")
 
 def _sdec(level: str) -> None:
     strategy = f"same_day_emergency_care_{level.replace(' ', '_')}"
-    rules = co.sdec_rules(tables.SDEC)
+    rules = tables.sdec_rows()
     entries = " OR ".join(
         f"(regexp_matches(s.sushrg, '{r['hrg']}') AND regexp_matches(d.diagnosis, '{r['icd10']}'))" for r in rules if r["level"] == level
     )
@@ -342,7 +354,7 @@ def _sdec(level: str) -> None:
         ),
     )
     def _(v):
-        return co.same_day_emergency_care(v.ip, v.dx, rules).filter(F.col("strategy") == strategy)
+        return co.same_day_emergency_care(v.ip, v.dx, co.sdec_rules(_file(v, tables.SDEC))).filter(F.col("strategy") == strategy)
 
 
 for _level in ("low", "moderate", "high", "very high"):
@@ -352,11 +364,10 @@ for _level in ("low", "moderate", "high", "very high"):
 @check("coh_04_assembly", " UNION ALL ".join([*map(rule_sql, RULES), *(f"SELECT * FROM ({sql}) o" for sql in OTHERS)]))
 def _(v):
     """All inpatient cohorts: those of the rules and all others."""
-    points = v.spark.createDataFrame(tables.FRAILTY, "icd10 string, score double")
-    alcohol = {group: co.alcohol_rules(tables.ALCOHOL, group) for group in ("chronic", "acute")}
-    return assemble(
-        v.ip, v.apc, v.dx, v.px, points, v.obesity, _day_codes(v), v.trimpoint, alcohol, tables.SMOKING, co.sdec_rules(tables.SDEC)
-    )
+    points = v.spark.createDataFrame(pa.table(dict(zip(("icd10", "score"), map(list, zip(*tables.FRAILTY))))))
+    alcohol = {group: co.alcohol_rules(_file(v, tables.ALCOHOL), group) for group in ("chronic", "acute")}
+    lookups = Lookups(points, v.obesity, _day_codes(v), v.trimpoint, alcohol, _smoking(v), co.sdec_rules(_file(v, tables.SDEC)))
+    return all_cohorts(v.ip, v.apc, v.dx, v.px, lookups)
 
 
 # --- outpatient cohorts --------------------------------------------------------------------------

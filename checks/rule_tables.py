@@ -44,3 +44,28 @@ FRAILTY = [
     ("F00", 7.1), ("G30", 4.0), ("W19", 3.2), ("R29", 3.6), ("R41", 2.7), ("N39", 3.2), ("E86", 2.3), ("I64", 2.6),
     ("F05", 3.2), ("S06", 2.4), ("E11", 1.1), ("J01", 2.9), ("K02", 0.8), ("M03", 1.6), ("G04", 5.2), ("Z05", 4.4),
 ]
+
+
+def alcohol_rows(group: str) -> list[dict]:
+    """The alcohol fractions of one group as rows, for the oracle."""
+    lows = ALCOHOL["ages"]
+    rows = []
+    for family in ALCOHOL["data"][group].values():
+        for entry in family.values():
+            for outcome in ("mortality", "morbidity"):
+                given = entry.get(outcome) if "mortality" in entry else entry
+                for sex, name in enumerate(("male", "female"), 1):
+                    for k, rate in enumerate((given or {}).get(name, [])):
+                        if 0 < rate <= 1:
+                            high = lows[k + 1] - 1 if k + 1 < len(lows) else None
+                            rows.append(dict(pattern=given["regex"], sex=str(sex), outcome=outcome, low=lows[k], high=high, rate=rate))
+    return rows
+
+
+def sdec_rows() -> list[dict]:
+    """The directory's entries as rows of whole-code patterns, for the oracle."""
+    return [
+        {"level": c["group"], "hrg": f"^({'|'.join(c['hrg_codes'])})$", "icd10": f"^({'|'.join(c['icd10_codes'])})$"}
+        for specialty in SDEC.values()
+        for c in specialty.values()
+    ]

@@ -9,17 +9,18 @@ from pyspark.sql import functions as F
 
 from cohortlake.functions.materialise import materialise
 
-SMALL_ROWS = 200_000
+SMALL_BYTES = 16 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Mark a lookup for broadcast once its row count is known to be within `max_rows`.
+def broadcast_if_small(df: DataFrame, max_bytes: int = SMALL_BYTES) -> DataFrame:
+    """Mark a lookup for broadcast once its written size is known to be within `max_bytes`.
 
-    The lookup is materialised first, so it is computed once for the count and the join. Above the
-    bound it is returned unmarked, and Spark picks a shuffled join (with skew splitting by AQE).
+    The lookup is materialised first, so it is computed once, and its files are as large as they are
+    however wide its rows. Above the bound it is returned unmarked, and Spark picks a shuffled join (with
+    skew splitting by AQE).
     """
     df = materialise(df)
-    if df.count() <= max_rows:
+    if int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= max_bytes:
         return F.broadcast(df)
     return df
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from cohortlake.functions.expressions import counted_procedure, sql_literal
 from cohortlake.functions.materialise import materialise
 from cohortlake.functions.skew import broadcast_if_small, left_join_known
-from cohortlake.operators.conditions import Condition, add_flags, code_masks, expand_patterns
+from cohortlake.operators.conditions import Condition, add_flags, expand_patterns
+from cohortlake.operators.patterns import compiled, match_codes
 from cohortlake.operators.records_ip import not_well_baby
 
 MEMBER = ["fyear", "provider", "epikey"]
@@ -95,37 +96,49 @@ def members(df: DataFrame, type: str, strategy: str, rate: Column | float = 1.0)
 # --- cohorts with attributable fractions ---------------------------------------------------------
 
 
-def alcohol_rules(table: Mapping, group: str) -> list[dict]:
-    """Rows (pattern, sex, outcome, low, high, rate) of one group of the alcohol fraction file.
+#: Layout of the alcohol fraction file: ages, and by group and family the conditions.
+_FRACTIONS = "regex: string, male: array<double>, female: array<double>"
+_CONDITION = f"struct<{_FRACTIONS}, mortality: struct<{_FRACTIONS}>, morbidity: struct<{_FRACTIONS}>>"
+ALCOHOL_FILE = f"struct<ages: array<int>, data: map<string, map<string, map<string, {_CONDITION}>>>>"
+SDEC_FILE = "map<string, map<string, struct<group: string, hrg_codes: array<string>, icd10_codes: array<string>>>>"
+
+
+def alcohol_rules(text: DataFrame, group: str) -> DataFrame:
+    """`(pattern, sex, outcome, low, high, rate)` of one group of the alcohol fraction file, given as a row with its JSON in `value`.
 
     A condition gives fractions by sex for the age bands listed in the file, either for all outcomes
     or separately for mortality and morbidity. Only fractions above 0 and up to 1 are kept. The last
     band has no upper age.
     """
-    lows = table["ages"]
-    highs = [low - 1 for low in lows[1:]] + [None]
-    rows = []
-    for conditions in table["data"][group].values():
-        for condition in conditions.values():
-            outcomes = condition if "mortality" in condition else dict.fromkeys(("mortality", "morbidity"), condition)
-            for outcome, entry in outcomes.items():
-                for number, sex in (("1", "male"), ("2", "female")):
-                    for low, high, rate in zip(lows, highs, entry.get(sex, [])):
-                        if 0 < rate <= 1:
-                            rows.append(
-                                {
-                                    "pattern": entry["regex"],
-                                    "sex": number,
-                                    "outcome": outcome,
-                                    "low": low,
-                                    "high": high,
-                                    "rate": float(rate),
-                                }
-                            )
-    return rows
-
-
-def alcohol_partly(spells: DataFrame, diagnoses: DataFrame, rules: Sequence[Mapping], strategy: str) -> DataFrame:
+    file = text.select(F.from_json("value", ALCOHOL_FILE).alias("file")).select("file.ages", F.element_at("file.data", group).alias("families"))
+    conditions = file.select("ages", F.explode(F.map_values("families")).alias("family"))
+    conditions = conditions.select("ages", F.explode(F.map_values("family")).alias("c"))
+    apart = F.array(*[F.struct(F.lit(o).alias("outcome"), F.col(f"c.{o}").alias("entry")) for o in ("mortality", "morbidity")])
+    alike = F.array(
+        *[
+            F.struct(F.lit(o).alias("outcome"), F.struct("c.regex", "c.male", "c.female").alias("entry"))
+            for o in ("mortality", "morbidity")
+        ]
+    )
+    entries = conditions.select("ages", F.explode(F.when(F.col("c.mortality").isNotNull(), apart).otherwise(alike)).alias("e"))
+    by_sex = entries.select(
+        "ages",
+        "e.outcome",
+        F.col("e.entry.regex").alias("pattern"),
+        F.explode(F.create_map(F.lit("1"), F.col("e.entry.male"), F.lit("2"), F.col("e.entry.female"))).alias("sex", "rates"),
+    )
+    bands = by_sex.select("*", F.posexplode("rates").alias("band", "rate")).where("rate > 0 AND rate <= 1 AND band < size(ages)")
+    return bands.select(
+        "pattern",
+        "sex",
+        "outcome",
+        F.get("ages", F.col("band")).alias("low"),
+        (F.get("ages", F.col("band") + 1) - 1).alias("high"),
+        "rate",
+    )
+
+
+def alcohol_partly(spells: DataFrame, diagnoses: DataFrame, rules: DataFrame, strategy: str) -> DataFrame:
     """Partly alcohol-attributable spells; the rate is the highest fraction of any diagnosis.
 
     Each matched code carries its few rules as an array, so the join is on the code alone and the age
@@ -163,7 +176,7 @@ def obesity(spells: DataFrame, diagnoses: DataFrame, fractions: DataFrame) -> Da
     return members(rated, "activity_avoidance", "obesity_related_admissions", F.col("fraction"))
 
 
-def smoking(spells: DataFrame, diagnoses: DataFrame, rules: Sequence[Mapping]) -> DataFrame:
+def smoking(spells: DataFrame, diagnoses: DataFrame, rules: DataFrame) -> DataFrame:
     """Spells whose first diagnosis matches a pattern for their sex; the rate is the highest fraction."""
     first = _first_diagnoses(diagnoses)
     by_code = expand_patterns(first, "diagnosis", rules).groupBy("diagnosis", "sex").agg(F.max("rate").alias("rate"))
@@ -194,13 +207,28 @@ def frailty_scores(spells: DataFrame, all_spells: DataFrame, diagnoses: DataFram
     and one running sum per person gives the earlier score on any day. Codes of the spell itself are
     added where they are not already counted on that day.
     """
-    points = scores.select("icd10", F.round(F.col("score") * 10).cast("int").alias("points"))
+    points = frailty_points(scores)
     scored = (
         diagnoses.filter(F.length("diagnosis") > 3)
         .select("epikey", F.substring("diagnosis", 1, 3).alias("icd10"))
         .join(points, "icd10")
         .distinct()
     )
+    return score_frailty(spells, all_spells, scored)
+
+
+def frailty_points(scores: DataFrame) -> DataFrame:
+    return scores.select("icd10", F.round(F.col("score") * 10).cast("int").alias("points"))
+
+
+def score_frailty(spells: DataFrame, all_spells: DataFrame, scored: DataFrame) -> DataFrame:
+    """As `frailty_scores`, from the scored codes of every spell: distinct `(epikey, icd10, points)`.
+
+    No pairs of spells are formed. The days on which a person's code counts are cut into intervals
+    that do not overlap, each interval adds its score at its start and takes it off after its end,
+    and one running sum per person gives the earlier score on any day. Codes of the spell itself are
+    added where they are not already counted on that day.
+    """
     people = all_spells.filter(F.col("last_episode_in_spell") & F.col("person_id_deid").isNotNull()).select(
         "epikey", F.col("person_id_deid").alias("person_id"), "disdate"
     )
@@ -364,47 +392,43 @@ def preop_los(spells: DataFrame, procedures: DataFrame, day: str = "procedure_da
     )
 
 
-def sdec_rules(directory: Mapping) -> list[dict]:
-    """Rows (level, hrg, icd10) of the same-day care directory: whole-code patterns."""
-    return [
-        {
-            "level": condition["group"],
-            "hrg": f"^({'|'.join(condition['hrg_codes'])})$",
-            "icd10": f"^({'|'.join(condition['icd10_codes'])})$",
-        }
-        for specialty in directory.values()
-        for condition in specialty.values()
-    ]
+def sdec_rules(text: DataFrame) -> DataFrame:
+    """`(level, hrg, icd10)` of the same-day care directory, given as a row with its JSON in `value`: whole-code patterns."""
+    whole = lambda codes: F.concat(F.lit("^("), F.array_join(codes, "|"), F.lit(")$"))
+    specialties = text.select(F.explode(F.map_values(F.from_json("value", SDEC_FILE))).alias("specialty"))
+    entries = specialties.select(F.explode(F.map_values("specialty")).alias("c"))
+    return entries.select(
+        F.col("c.group").alias("level"), whole(F.col("c.hrg_codes")).alias("hrg"), whole(F.col("c.icd10_codes")).alias("icd10")
+    )
+
+
+def sdec_strategy(level: Column) -> Column:
+    return F.concat(F.lit("same_day_emergency_care_"), F.replace(level, F.lit(" "), F.lit("_")))
+
 
+SDEC_SPELL = "age >= 18 AND rlike(admimeth, '^2[123]') AND speldur <= 2"
 
-def same_day_emergency_care(spells: DataFrame, diagnoses: DataFrame, rules: Sequence[Mapping]) -> DataFrame:
+
+def same_day_emergency_care(spells: DataFrame, diagnoses: DataFrame, rules: DataFrame) -> DataFrame:
     """Short emergency stays of adults whose HRG and first diagnosis are in one directory entry.
 
-    Both codes are mapped to the set of entries they match; the sets must share an entry.
+    Both codes are mapped to the directory's distinct patterns; an entry is a pair of them.
     """
     first = _first_diagnoses(diagnoses)
-    groups = range((len(rules) + 61) // 62)
-    masks = lambda df, code, name, part: code_masks(df, code, [r[part] for r in rules]).select(
-        code, *[F.col(f"m{g}").alias(f"{name}{g}") for g in groups]
-    )
-    short = spells.filter(
-        (F.col("age") >= 18) & F.col("admimeth").rlike("^2[123]") & (F.col("speldur") <= 2)
-    ).select(*MEMBER, "sushrg")
+    short = spells.where(SDEC_SPELL).select(*MEMBER, "sushrg")
+    by_hrg = expand_patterns(short, "sushrg", rules, "hrg").groupBy("sushrg")
+    by_hrg = by_hrg.agg(F.collect_set(F.struct("level", "icd10")).alias("entries"))  # as many as there are entries at most
+    by_code = match_codes(first, "diagnosis", compiled(rules, "icd10")).groupBy("diagnosis")
+    by_code = by_code.agg(F.collect_set("pattern").alias("patterns"))
+    shared = F.filter("entries", lambda e: F.array_contains(F.col("patterns"), e["icd10"]))
     both = (
-        short.join(broadcast_if_small(masks(spells, "sushrg", "h", "hrg")), "sushrg")
+        short.join(broadcast_if_small(by_hrg), "sushrg")
         .join(first, ["epikey", "fyear"])
-        .join(broadcast_if_small(masks(first, "diagnosis", "d", "icd10")), "diagnosis")
-    )
-    strategies = []
-    for level in dict.fromkeys(r["level"] for r in rules):
-        wanted = [sum(1 << (i % 62) for i, r in enumerate(rules) if r["level"] == level and i // 62 == g) for g in groups]
-        shared = [F.col(f"h{g}").bitwiseAND(F.col(f"d{g}")).bitwiseAND(F.lit(w).cast("long")) != 0 for g, w in enumerate(wanted)]
-        strategies.append(F.when(reduce(lambda a, b: a | b, shared), f"same_day_emergency_care_{level.replace(' ', '_')}"))
-    return (
-        both.select(*MEMBER, F.explode(F.array_compact(F.array(*strategies))).alias("strategy"))
-        .distinct()
-        .select(*MEMBER, F.lit("efficiency").alias("type"), "strategy", F.lit(1.0).alias("sample_rate"))
+        .join(broadcast_if_small(by_code), "diagnosis")
+        .select(*MEMBER, F.explode(F.array_distinct(F.transform(shared, lambda e: e["level"]))).alias("level"))
     )
+    named = both.select(*MEMBER, sdec_strategy(F.col("level")).alias("strategy")).distinct()
+    return named.select(*MEMBER, F.lit("efficiency").alias("type"), "strategy", F.lit(1.0).alias("sample_rate"))
 
 
 # --- merge into a stored table -------------------------------------------------------------------

@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlake.config import Tables
-from cohortlake.operators import cohorts as co
 from cohortlake.operators import curves, extracts, inequalities, inputs, records_ae, records_ip, records_op, reference
-from cohortlake.operators.rules import standard_rules
+from cohortlake.operators.cohort_pass import Lookups, all_cohorts
 from cohortlake.sources.sinks import build_if_absent, replace_partitions, write_extract, write_partitioned
 
 ATTENDANCE = ("fyear", "provider")
@@ -92,56 +91,24 @@ def emergency(spark: SparkSession, tables: Tables) -> None:
     write_partitioned(records_ae.ae_rollup(tables.built(spark, "ae")), tables.path("ae_rollup"), ATTENDANCE)
 
 
-def assemble(
-    ip: DataFrame,
-    apc: DataFrame,
-    diagnoses: DataFrame,
-    procedures: DataFrame,
-    frailty: DataFrame,
-    obesity: DataFrame,
-    day_codes: DataFrame,
-    trimpoints: DataFrame,
-    alcohol: Mapping[str, Sequence[Mapping]],
-    smoking: Sequence[Mapping],
-    sdec: Sequence[Mapping],
-) -> DataFrame:
-    """All inpatient cohorts, one under the other."""
-    parts = [
-        co.tag(ip, diagnoses, procedures, standard_rules()),
-        co.frail_elderly(co.frailty_scores(ip, apc, diagnoses, frailty)),
-        co.readmissions(ip, apc),
-        co.obesity(ip, diagnoses, obesity),
-        co.smoking(ip, diagnoses, smoking),
-        co.day_procedures(ip, procedures, day_codes),
-        co.excess_beddays(ip, trimpoints),
-        co.preop_los(ip, procedures),
-        co.same_day_emergency_care(ip, diagnoses, sdec),
-    ]
-    for group, rules in alcohol.items():
-        parts.append(co.alcohol_partly(ip, diagnoses, rules, f"alcohol_partially_attributable_{group}"))
-    everything = parts[0]
-    for part in parts[1:]:
-        everything = everything.unionByName(part)
-    return everything
-
-
 def inpatient_cohorts(
     spark: SparkSession,
     tables: Tables,
-    alcohol: Mapping[str, Sequence[Mapping]],
-    smoking: Sequence[Mapping],
-    sdec: Sequence[Mapping],
+    alcohol: Mapping[str, DataFrame],
+    smoking: DataFrame,
+    sdec: DataFrame,
 ) -> None:
-    """All inpatient cohorts in one table. The rule lists come from the readers."""
-    everything = assemble(
-        tables.built(spark, "ip"),
-        *(tables.read(spark, n) for n in ("apc", "apc_diagnoses", "apc_procedures", "frailty_scores", "obesity_fractions")),
+    """All inpatient cohorts in one table. The rule tables come from the readers."""
+    lookups = Lookups(
+        *(tables.read(spark, n) for n in ("frailty_scores", "obesity_fractions")),
         tables.built(spark, "day_procedure_codes"),
         tables.read(spark, "trimpoints"),
         alcohol,
         smoking,
         sdec,
     )
+    raw = [tables.read(spark, n) for n in ("apc", "apc_diagnoses", "apc_procedures")]
+    everything = all_cohorts(tables.built(spark, "ip"), *raw, lookups)
     write_partitioned(everything, tables.path("ip_cohorts"), ATTENDANCE, ("strategy", "epikey"))
 
 

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import json
-from collections.abc import Mapping
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,22 +26,22 @@ def read_obesity_fractions(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, "diagnosis string, fraction double")
 
 
-def read_smoking_rules(spark: SparkSession, path: str) -> list[dict]:
-    """Smoking fractions as rules; a published list, read whole."""
-    rows = read_csv(spark, path, "diagnoses string, sex int, value double").toLocalIterator()
-    return [{"pattern": r["diagnoses"], "sex": str(r["sex"]), "rate": r["value"]} for r in rows]
+def read_smoking_rules(spark: SparkSession, path: str) -> DataFrame:
+    """Smoking fractions as a rule table: `(pattern, sex, rate)`."""
+    rows = read_csv(spark, path, "diagnoses string, sex int, value double")
+    return rows.select(F.col("diagnoses").alias("pattern"), F.col("sex").cast("string").alias("sex"), F.col("value").alias("rate"))
 
 
-def read_json(spark: SparkSession, path: str) -> Mapping:
-    """A short JSON rule file, from any file system Spark can read."""
-    return json.loads(spark.read.text(path, wholetext=True).first()["value"])
+def read_json(spark: SparkSession, path: str) -> DataFrame:
+    """A JSON rule file as one row `value`, from any file system Spark can read."""
+    return spark.read.text(path, wholetext=True)
 
 
-def read_alcohol_rules(spark: SparkSession, path: str, group: str) -> list[dict]:
+def read_alcohol_rules(spark: SparkSession, path: str, group: str) -> DataFrame:
     return alcohol_rules(read_json(spark, path), group)
 
 
-def read_sdec_rules(spark: SparkSession, path: str) -> list[dict]:
+def read_sdec_rules(spark: SparkSession, path: str) -> DataFrame:
     return sdec_rules(read_json(spark, path))
 
 

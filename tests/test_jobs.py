@@ -1,5 +1,7 @@
 """The jobs, table to table, on the smallest data."""
 
+import json
+
 from pyspark.sql import functions as F
 
 from checks import rule_tables
@@ -36,8 +38,10 @@ def test_jobs_run_in_order(spark, tmp_path):
     jobs.outpatients(spark, tables)
     jobs.emergency(spark, tables)
     jobs.day_procedure_codes(spark, tables, 201920)
-    alcohol = {g: alcohol_rules(rule_tables.ALCOHOL, g) for g in ("chronic", "acute")}
-    jobs.inpatient_cohorts(spark, tables, alcohol, rule_tables.SMOKING, sdec_rules(rule_tables.SDEC))
+    file = lambda content: spark.createDataFrame([(json.dumps(content),)], "value string")
+    alcohol = {g: alcohol_rules(file(rule_tables.ALCOHOL), g) for g in ("chronic", "acute")}
+    smoking = spark.createDataFrame([(r["pattern"], r["sex"], r["rate"]) for r in rule_tables.SMOKING], "pattern string, sex string, rate double")
+    jobs.inpatient_cohorts(spark, tables, alcohol, smoking, sdec_rules(file(rule_tables.SDEC)))
     jobs.model_inputs(spark, tables, "provider")
     jobs.model_extracts(spark, tables, 201920)
 

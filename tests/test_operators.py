@@ -212,11 +212,11 @@ def test_rule_files(spark, tmp_path):
     (tmp_path / "trim.csv").write_text("sushrg,elective,emergency\nAA22C,90,-\n")
     assert tuple(readers.read_trimpoints(spark, str(tmp_path / "trim.csv")).first()) == ("AA22C", 90, None)
     (tmp_path / "smoke.csv").write_text("diagnoses,sex,value\nC34,1,0.5\n")
-    assert readers.read_smoking_rules(spark, str(tmp_path / "smoke.csv")) == [{"pattern": "C34", "sex": "1", "rate": 0.5}]
+    assert readers.read_smoking_rules(spark, str(tmp_path / "smoke.csv")) .collect() == [("C34", "1", 0.5)]
     table = {"ages": [16, 25], "data": {"acute": {"g": {"c": {"regex": "W0", "male": [0.5, -0.1], "female": [1.2, 1]}}}}}
     (tmp_path / "alcohol.json").write_text(json.dumps(table, indent=1))
-    rules = readers.read_alcohol_rules(spark, str(tmp_path / "alcohol.json"), "acute")
+    rules = readers.read_alcohol_rules(spark, str(tmp_path / "alcohol.json"), "acute").orderBy("outcome", "sex").collect()
     assert [(r["sex"], r["outcome"], r["low"], r["high"], r["rate"]) for r in rules] == [
-        ("1", "mortality", 16, 24, 0.5), ("2", "mortality", 25, None, 1.0),
         ("1", "morbidity", 16, 24, 0.5), ("2", "morbidity", 25, None, 1.0),
+        ("1", "mortality", 16, 24, 0.5), ("2", "mortality", 25, None, 1.0),
     ]
