@@ -14,7 +14,7 @@ from cohortlake.operators import inequalities as inq
 from cohortlake.operators import population as pop
 from cohortlake.operators import records_ae as ae
 from cohortlake.operators import release as rel
-from cohortlake.sources import sinks
+from cohortlake.sources import sinks, snapshots
 
 ACUTE = "SELECT org_to FROM v_trust WHERE org_type LIKE 'ACUTE%'"
 
@@ -574,6 +574,20 @@ def _(v):
     return v.spark.read.parquet(sinks.merge_into(v.spark, path, half, [("activity_avoidance", "smoking")], "v2"))
 
 
+@check(
+    "snk_03_merge_snapshot",
+    """SELECT fyear, provider, epikey, type, strategy, round(sample_rate, 6) AS sample_rate FROM v_cohort WHERE strategy <> 'smoking'
+       UNION ALL SELECT fyear, provider, epikey, type, strategy, round(sample_rate / 2, 6) FROM v_cohort WHERE strategy = 'smoking' AND epikey % 8 <> 1""",
+)
+def _(v):
+    path = _folder(v)
+    snapshots.merge_snapshot(v.spark, path, v.cohort)
+    smoking = v.cohort.filter("strategy = 'smoking' AND epikey % 8 <> 1")
+    half = smoking.withColumn("sample_rate", F.col("sample_rate") / 2)
+    snapshots.merge_snapshot(v.spark, path, half, [("activity_avoidance", "smoking")])
+    return snapshots.read_snapshot(v.spark, path)
+
+
 @check(
     "snk_04_write_extract",
     """SELECT epikey AS rn, provider AS dataset, 2019 AS fyear, CAST(sex AS INT) AS sex, age FROM v_ip WHERE fyear = 201920""",

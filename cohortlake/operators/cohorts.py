@@ -436,18 +436,18 @@ def same_day_emergency_care(spells: DataFrame, diagnoses: DataFrame, rules: Data
 MERGE_KEY = ["fyear", "provider", "epikey", "type", "strategy"]
 
 
-def merge_cohorts(stored: DataFrame, current: DataFrame, recomputed: Sequence[tuple[str, str]]) -> DataFrame:
+def merge_cohorts(stored: DataFrame, current: DataFrame, recomputed: Sequence[tuple[str, str]] | None) -> DataFrame:
     """New state of the stored memberships after recomputing some cohorts.
 
     `recomputed` lists the (type, strategy) pairs that `current` holds, also those it holds no row
-    of. `action` says what happened to each row: insert, update (the rate changed), keep, or delete
+    of; None means all cohorts. `action` says what happened to each row: insert, update (the rate changed), keep, or delete
     (a row of a recomputed cohort that is gone). Rows of other cohorts are kept. Write the rows that
     are not deleted.
     """
     replaced = reduce(
         lambda a, b: a | b,
-        [(F.col("type") == kind) & (F.col("strategy") == name) for kind, name in recomputed],
-        F.lit(False),
+        [(F.col("type") == kind) & (F.col("strategy") == name) for kind, name in recomputed or ()],
+        F.lit(recomputed is None),
     )
     old = stored.select(*MERGE_KEY, F.col("sample_rate").alias("_old"), F.lit(True).alias("_stored"))
     new = current.select(*MERGE_KEY, "sample_rate", F.lit(True).alias("_current"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cohortlake.config import Tables
 from cohortlake.operators import curves, extracts, inequalities, inputs, records_ae, records_ip, records_op, reference
 from cohortlake.operators.cohort_pass import Lookups, all_cohorts
+from cohortlake.sources.snapshots import merge_snapshot, read_snapshot
 from cohortlake.sources.sinks import build_if_absent, replace_partitions, write_extract, write_partitioned
 
 ATTENDANCE = ("fyear", "provider")
@@ -98,7 +99,7 @@ def inpatient_cohorts(
     smoking: DataFrame,
     sdec: DataFrame,
 ) -> None:
-    """All inpatient cohorts in one table. The rule tables come from the readers."""
+    """All inpatient cohorts merged into one table in versions. The rule tables come from the readers."""
     lookups = Lookups(
         *(tables.read(spark, n) for n in ("frailty_scores", "obesity_fractions")),
         tables.built(spark, "day_procedure_codes"),
@@ -109,7 +110,7 @@ def inpatient_cohorts(
     )
     raw = [tables.read(spark, n) for n in ("apc", "apc_diagnoses", "apc_procedures")]
     everything = all_cohorts(tables.built(spark, "ip"), *raw, lookups)
-    write_partitioned(everything, tables.path("ip_cohorts"), ATTENDANCE, ("strategy", "epikey"))
+    merge_snapshot(spark, tables.path("ip_cohorts"), everything)
 
 
 def day_procedure_codes(spark: SparkSession, tables: Tables, base_year: int) -> None:
@@ -126,9 +127,8 @@ def day_procedure_codes(spark: SparkSession, tables: Tables, base_year: int) ->
 def model_inputs(spark: SparkSession, tables: Tables, geography: str) -> None:
     """Age and sex table, rates, code lists, baseline and (for providers) flows and inequalities."""
     inputs.check_geography(geography)
-    ip, op, ae, cohorts, trusts, population = (
-        tables.built(spark, n) for n in ("ip", "op", "ae", "ip_cohorts", "trusts", "population_lad23")
-    )
+    ip, op, ae, trusts, population = (tables.built(spark, n) for n in ("ip", "op", "ae", "trusts", "population_lad23"))
+    cohorts = read_snapshot(spark, tables.path("ip_cohorts"))
     diagnoses, procedures = tables.read(spark, "apc_diagnoses"), tables.read(spark, "apc_procedures")
     op_diagnoses, op_procedures = tables.read(spark, "opa_diagnoses"), tables.read(spark, "opa_procedures")
     people = population if geography == "lad23cd" else tables.built(spark, "population_provider")
@@ -179,11 +179,12 @@ def model_extracts(spark: SparkSession, tables: Tables, fyear: int) -> None:
     """One year of the record tables, the cohorts and the inequalities, by year and dataset."""
     trusts = tables.built(spark, "trusts")
     acute = lambda name: reference.keep_acute(tables.built(spark, name), trusts)
+    cohorts = reference.keep_acute(read_snapshot(spark, tables.path("ip_cohorts")), trusts)
     found = tables.built(spark, "inputs/provider/inequalities")
     write_extract(extracts.ip_extract(acute("ip"), fyear), tables.path("model/ip"), ("rn",))
     ip = tables.built(spark, "model/ip")
     for folder, kind in (("activity_avoidance", "activity_avoidance"), ("efficiencies", "efficiency")):
-        rows = extracts.cohort_extract(acute("ip_cohorts"), ip, fyear, kind)
+        rows = extracts.cohort_extract(cohorts, ip, fyear, kind)
         write_extract(rows, tables.path(f"model/ip_{folder}_strategies"), ("rn",))
     write_extract(extracts.op_extract(acute("op_rollup"), found, fyear), tables.path("model/op"))
     write_extract(extracts.ae_extract(acute("ae_rollup"), fyear), tables.path("model/aae"))
