@@ -4,6 +4,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from checks.queries_inputs import INQ, inq_rates
 from checks.registry import check
 from checks.views import VARIANTS
 from cohortlake.functions.expressions import fyear_of_year
@@ -136,11 +137,10 @@ def _cohort_extract(kind: str) -> None:
 _cohort_extract("activity_avoidance")
 _cohort_extract("efficiency")
 
-OP_ROLL = """
+OP_ROLL = f"""{INQ},
 op_roll AS (SELECT fyear, provider AS dataset, age, sex, imd_quintile, type, "group" AS grp, has_procedures, substr(sushrg, 1, 4) AS sushrg_trimmed, icb,
     is_main_icb, sum(attendance) AS attendances, sum(tele_attendance) AS tele_attendances FROM v_op WHERE fyear = 201920 GROUP BY ALL),
-found AS (SELECT DISTINCT icb, provider AS dataset, substr(sushrg, 1, 4) AS sushrg_trimmed FROM v_ip WHERE admimeth LIKE '1%' AND fyear = 201920
-  AND sushrg IN ('JC42C', 'DZ11A', 'HN12B') AND imd_quintile = 2 AND icb IS NOT NULL)"""
+found AS (SELECT DISTINCT icb, provider AS dataset, sushrg_trimmed FROM fits WHERE fyear = 201920 AND pvalue < 0.3 AND slope > 0)"""
 
 
 def op_rolled(v):
@@ -151,9 +151,9 @@ def op_rolled(v):
 
 
 def found(v):
-    return v.ip.filter("admimeth LIKE '1%' AND sushrg IN ('JC42C', 'DZ11A', 'HN12B') AND imd_quintile = 2").select(
-        "fyear", "icb", "provider", F.substring("sushrg", 1, 4).alias("sushrg_trimmed")
-    )
+    rates = inq_rates(v)
+    adjusted = inq.adjustments(rates, inq.regressions(rates, min_count=3), alpha=0.3)
+    return adjusted.select("fyear", "icb", "provider", "sushrg_trimmed")
 
 
 @check(

@@ -99,3 +99,19 @@ def test_each_code_table_is_scanned_twice(spark, views, monkeypatch):
     for name, path in paths.items():
         scans.extend([name] * rest.count(path[-40:]))
     assert sorted(scans) == ["dx", "dx", "px", "px"]
+
+
+def test_code_lists_rank_without_whole_groups(spark):
+    """The rank's limit is applied before the shuffle, and totals need no window."""
+    from pyspark.sql import functions as F
+
+    from cohortlake.operators.inputs import top_codes
+
+    rows = [(2020, "P" if k % 3 else None, "s", f"c{k % 40:02}") for k in range(4000)]
+    df = spark.createDataFrame(rows, "fyear int, provider string, strategy string, code string")
+    found = top_codes(df, "provider", "code", F.count(F.lit(1)))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and plan.count("+- Window [") == 1
+    out = found.collect()
+    assert len(out) == 12 and {r["provider"] for r in out} == {"P", None}
+    assert all(r["rn"] <= 6 and r["total"] == (2666 if r["provider"] else 1334) for r in out)
