@@ -52,6 +52,7 @@ TITLE_WORDS = set("article entry post story title heading headline".split())
 
 TOKEN = re.compile(
     rf"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)
+    |<(?:svg|math)\b(?:[^>"'/]|/(?!>)|"[^"]*"|'[^']*')*/>
     |<(?P<unread>{UNREAD})\b(?:[^>"']|"[^"]*"|'[^']*')*(?:/>|>.*?(?:</(?P=unread)\s*[^>]*>|\Z)|\Z)
     |<(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*'|["'])*?)(?:>|\Z)""",
     re.S | re.I | re.X,

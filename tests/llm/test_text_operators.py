@@ -412,6 +412,31 @@ def test_story_in_several_articles(page_weights):
     assert text.split("\n\n") == STORY
 
 
+def test_elements_closed_in_themselves_hide_nothing(page_weights):
+    icon, formula = '<svg class="icon" viewBox="0 0 1/1"/>', "<math display=block />"
+    page = f"<body><article><h1>{icon}Head</h1><p>{STORY[0]}</p>{formula}<p>{STORY[1]}<svg><path d='M/'/>no</svg></p></article></body>"
+    text = op1_html.main_text(page, page_weights)
+    assert STORY[0] in text and STORY[1] in text and "no" not in text.split()
+
+
+@pytest.mark.parametrize("length", [1024, 4096])
+def test_words_that_collided_by_construction(spark, length):
+    """The two words of the Thue-Morse pattern agree under any polynomial hash modulo 2**64."""
+    from tokenizers import Tokenizer
+
+    a, b = "a", "b"
+    while len(a) < length:
+        a, b = a + b, b + a
+    frame = spark.createDataFrame([(1, a), (2, b), (3, f"{b} {a}")], "doc_id long, text string").coalesce(1)
+    library = Tokenizer.from_file(op3_bpe.default_vocabulary())
+    for row in op3_bpe.encode(frame, "text", "ids").collect():
+        assert row.ids == library.encode(row.text, add_special_tokens=False).ids
+    item = spark.createDataFrame([(7, a)], "item_id long, text string")
+    found = {r.doc_id: (r.n_words, r.n_hit) for r in op5_decontaminate.contamination(frame, item).collect()}
+    assert found == {1: (1, 1), 2: (1, 0), 3: (2, 1)}
+    assert {r.doc_id: r.text for r in op2_lines.dedup_lines(frame).collect()} == {1: a, 2: b, 3: f"{b} {a}"}
+
+
 def test_crc_parts(spark):
     from llm.frames import crc_part
 
