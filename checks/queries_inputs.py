@@ -274,7 +274,7 @@ op_e AS (SELECT * FROM op_d WHERE d > 0), {standard_sql('op_e', g, 'r_op')}"""
 
     @check(f"inp_18_baseline{end}", f"WITH {BASES} " + published_sql(" UNION ALL ".join(base_rows), g))
     def _(v):
-        return inp.baseline(v.ip, v.op, v.ae, g, v.trust)
+        return inp.baseline(inp.activity_counts(v.ip, v.op, v.ae, g), g, v.trust)
 
 
 _by_geography("provider")
@@ -297,7 +297,7 @@ icb_counts AS (SELECT fyear, icb, is_main_icb, provider, grp, tretspef, activity
     ),
 )
 def _(v):
-    return inp.expatriation(v.ip, v.op, v.ae, v.trust)
+    return inp.expatriation(inp.activity_counts(v.ip, v.op, v.ae), v.trust)
 
 
 LOCAL_SQL = """SELECT fyear, icb, provider, grp AS "group", tretspef, activity_type, count,
@@ -308,7 +308,7 @@ LOCAL_SQL = """SELECT fyear, icb, provider, grp AS "group", tretspef, activity_t
 
 @check("inp_20_repatriation_local", f"WITH {BASES}, {FLOWS} " + published_sql(LOCAL_SQL, "provider"))
 def _(v):
-    return inp.repatriation_local(v.ip, v.op, v.ae, v.trust)
+    return inp.repatriation_local(inp.activity_counts(v.ip, v.op, v.ae), v.trust)
 
 
 @check(
@@ -321,7 +321,7 @@ def _(v):
     ),
 )
 def _(v):
-    return inp.repatriation_nonlocal(v.ip, v.op, v.ae, v.trust)
+    return inp.repatriation_nonlocal(inp.activity_counts(v.ip, v.op, v.ae), v.trust)
 
 
 # --- from raw spells to rates ---------------------------------------------------------------------

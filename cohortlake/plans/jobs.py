@@ -155,17 +155,18 @@ def model_inputs(spark: SparkSession, tables: Tables, geography: str) -> None:
         inputs.ip_top(ip, cohorts, procedures, "procedure_order", "procedure_code", geography),
         inputs.op_top(op, op_procedures, "procedure_order", "procedure_code", geography, weighted=False),
     ]
+    counts = inputs.activity_counts(ip, op, ae, geography)
     results = {
         "age_sex": inputs.age_sex_table([ae_cells, ip_cells, op_cells], geography, trusts),
         "rates": inputs.rates_table(rates, geography, trusts),
         "diagnoses": inputs.code_table(top_diagnoses, geography, trusts),
         "procedures": inputs.code_table(top_procedures, geography, trusts),
-        "baseline": inputs.baseline(ip, op, ae, geography, trusts),
+        "baseline": inputs.baseline(counts, geography, trusts),
     }
     if geography == "provider":
-        results["expat"] = inputs.expatriation(ip, op, ae, trusts)
-        results["repat_local"] = inputs.repatriation_local(ip, op, ae, trusts)
-        results["repat_nonlocal"] = inputs.repatriation_nonlocal(ip, op, ae, trusts)
+        results["expat"] = inputs.expatriation(counts, trusts)
+        results["repat_local"] = inputs.repatriation_local(counts, trusts)
+        results["repat_nonlocal"] = inputs.repatriation_nonlocal(counts, trusts)
         acute_ip, acute_op = (
             reference.keep_acute(tables.built(spark, name), trusts) for name in ("ip", "op_rollup")
         )

@@ -115,3 +115,18 @@ def test_code_lists_rank_without_whole_groups(spark):
     out = found.collect()
     assert len(out) == 12 and {r["provider"] for r in out} == {"P", None}
     assert all(r["rn"] <= 6 and r["total"] == (2666 if r["provider"] else 1334) for r in out)
+
+
+def test_flows_read_only_the_written_counts(views):
+    """The sources are read once, by the count table; baseline and flows read that."""
+    from cohortlake.operators import inputs
+
+    counts = inputs.activity_counts(views.ip, views.op, views.ae)
+    known = {*counts.inputFiles(), *views.trust.inputFiles()}
+    for made in (
+        inputs.baseline(counts, "provider", views.trust),
+        inputs.expatriation(counts, views.trust),
+        inputs.repatriation_local(counts, views.trust),
+        inputs.repatriation_nonlocal(counts, views.trust),
+    ):
+        assert set(made.inputFiles()) <= known and made.count() > 0
