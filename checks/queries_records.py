@@ -1,9 +1,14 @@
 """Record-level operators: inpatient, outpatient and emergency, and their rollups."""
 
+from datetime import date
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.registry import check
 from cohortlake.functions.expressions import age_band, specialty_group
+from cohortlake.functions.materialise import materialise
 from cohortlake.operators import attribution as attr
 from cohortlake.operators import records_ae as ae
 from cohortlake.operators import records_ip as ip
@@ -273,6 +278,22 @@ def _(v):
     return marked.select("aekey", "is_frequent_attender")
 
 
+@check(
+    "raw_16_frequent_attender_by_year",
+    f"""WITH {AAE_FREQUENT} SELECT aekey, (aekey IN (SELECT aekey FROM older_frequent))::INT AS is_frequent_attender
+        FROM v_aae WHERE fyear < 201920""",
+)
+def _(v):
+    """Year by year, each from its own records and the days carried over."""
+    visit, counts = ("aekey", "person_id_deid", "arrivaldate"), F.col("aeattendcat") == "1"
+    carried, parts = None, []
+    for fyear in sorted(r[0] for r in v.aae.filter("fyear < 201920").select("fyear").distinct().collect()):
+        year = v.aae.filter(F.col("fyear") == fyear)
+        parts.append(ae.frequent_attender(year, *visit, counts, carried=carried).select("aekey", "is_frequent_attender"))
+        carried = materialise(ae.carry_days(year, *visit[1:], counts, date(fyear // 100 + 1, 4, 1), carried))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @check(
     "raw_17_frequent_attender_across",
     f"""WITH {ECDS_FREQUENT} SELECT CAST(EC_Ident AS VARCHAR) AS key, (EC_Ident IN (SELECT EC_Ident FROM newer_frequent))::INT AS is_frequent_attender

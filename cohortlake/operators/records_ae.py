@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,6 +29,28 @@ NO_INVESTIGATION = "1088291000000101"
 NO_TREATMENT = "183964008"
 
 
+LOOK_BACK = 365
+
+
+def visit_days(df: DataFrame, person: str, day: str) -> DataFrame:
+    """Attendances `_n` of each known person on each day."""
+    return df.filter(F.col(person).isNotNull()).groupBy(person, day).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def carry_days(
+    df: DataFrame, person: str, day: str, counts: Column, until: date, carried: DataFrame | None = None, days: int = LOOK_BACK
+) -> DataFrame:
+    """What attendances from `until` on need of those before: numbers per person and day of the last `days` days.
+
+    `df` is one period's attendances and `carried` what was kept when it began, so a new year is read with one
+    small table instead of all years before it. Attendances are taken to be dated within their period.
+    """
+    kept = visit_days(df.filter(counts), person, day)
+    if carried is not None:
+        kept = kept.unionByName(carried).groupBy(person, day).agg(F.sum("_n").alias("_n"))
+    return kept.filter((F.col(day) < F.lit(until)) & (F.col(day) >= F.lit(until - timedelta(days=days))))
+
+
 def frequent_attender(
     df: DataFrame,
     key: str,
@@ -35,22 +58,23 @@ def frequent_attender(
     day: str,
     counts: Column,
     extra_prior: DataFrame | None = None,
-    days: int = 365,
+    days: int = LOOK_BACK,
     minimum: int = 3,
+    carried: DataFrame | None = None,
 ) -> DataFrame:
     """`is_frequent_attender`: at least `minimum` attendances of the person in the `days` before this one.
 
     Only attendances for which `counts` holds are counted and flagged; the same day is not earlier.
-    `extra_prior` (same person and day columns) adds attendances that count but are not flagged.
+    `extra_prior` (same person and day columns) adds attendances that count but are not flagged, and
+    `carried` those that `carry_days` has kept of earlier years, already as numbers per day.
 
     Attendances are first reduced to one row per person and day, so the window over a person has at
     most one row per calendar day however often that person attended, and no pairs are formed.
     """
-    counted = df.filter(counts & F.col(person).isNotNull())
-    prior = counted.select(person, day)
-    if extra_prior is not None:
-        prior = prior.unionByName(extra_prior.filter(F.col(person).isNotNull()).select(person, day))
-    daily = prior.groupBy(person, day).agg(F.count(F.lit(1)).alias("_n"))
+    daily = visit_days(df.filter(counts), person, day)
+    for more in (visit_days(extra_prior, person, day) if extra_prior is not None else None, carried):
+        if more is not None:
+            daily = daily.unionByName(more).groupBy(person, day).agg(F.sum("_n").alias("_n"))
     earlier = Window.partitionBy(person).orderBy(F.unix_date(day)).rangeBetween(-days, -1)
     frequent = (
         daily.withColumn("_earlier", F.sum("_n").over(earlier))
@@ -216,17 +240,49 @@ def ecds_records(
     since: str = "2019/20",
 ) -> DataFrame:
     """Attendances of the newer system; frequent attenders look back into the older one."""
-    visits = (
+    visits = ecds_visits(ecds).filter(F.col("der_financial_year") >= since)
+    visits = add_provider(visits, trusts, "der_provider_code", "der_provider_site_code")
+    visits = frequent_attender(visits, *ECDS_VISIT, ecds_counts(), older_prior(aae))
+    return _ecds_labelled(visits, trusts, ccg_to_icb, areas, deprivation, main_icb)
+
+
+ECDS_VISIT = ("key", "token_person_id", "arrival_date")
+
+
+def ecds_counts() -> Column:
+    return F.col("ec_attendancecategory") == "1"
+
+
+def ecds_visits(ecds: DataFrame) -> DataFrame:
+    """The newer system with lower-case names and its person, key and day."""
+    return (
         lower_names(ecds)
-        .filter(F.col("der_financial_year") >= since)
         .withColumn("token_person_id", F.col("pseudo_nhs_number_pet").cast("string"))
         .withColumn("key", F.col("ec_ident").cast("string"))
         .withColumn("arrival_date", F.col("arrival_date").cast("date"))
     )
+
+
+def ecds_year(
+    ecds: DataFrame,
+    carried: DataFrame,
+    trusts: DataFrame,
+    ccg_to_icb: DataFrame,
+    areas: DataFrame,
+    deprivation: DataFrame,
+    main_icb: DataFrame,
+    fyear: int,
+) -> DataFrame:
+    """Attendances of one financial year of the newer system, as `ecds_records` has them; `carried` replaces all years before."""
+    visits = ecds_visits(ecds).filter(F.col("der_financial_year") == f"{fyear // 100}/{fyear % 100:02}")
     visits = add_provider(visits, trusts, "der_provider_code", "der_provider_site_code")
-    visits = frequent_attender(
-        visits, "key", "token_person_id", "arrival_date", F.col("ec_attendancecategory") == "1", older_prior(aae)
-    )
+    visits = frequent_attender(visits, *ECDS_VISIT, ecds_counts(), carried=carried)
+    return _ecds_labelled(visits, trusts, ccg_to_icb, areas, deprivation, main_icb)
+
+
+def _ecds_labelled(
+    visits: DataFrame, trusts: DataFrame, ccg_to_icb: DataFrame, areas: DataFrame, deprivation: DataFrame, main_icb: DataFrame
+) -> DataFrame:
     visits = ecds_flags(
         visits.withColumn("age", cap_age(F.col("age_at_arrival")))
         .filter(F.col("sex").isin("1", "2") & F.col("age").between(0, 90))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,6 +93,34 @@ def emergency(spark: SparkSession, tables: Tables) -> None:
     write_partitioned(records_ae.ae_rollup(tables.built(spark, "ae")), tables.path("ae_rollup"), ATTENDANCE)
 
 
+def emergency_year(spark: SparkSession, tables: Tables, fyear: int) -> None:
+    """One more year of the newer system, from its own records and the days carried over from the years before.
+
+    The days that the next year needs are written for it. Only if there are none for this year yet are they
+    made from all earlier records.
+    """
+    lookups, main = _lookups(spark, tables), tables.built(spark, "main_icb")
+    visits, counts = records_ae.ecds_visits(tables.read(spark, "ecds")), records_ae.ecds_counts()
+    this, following = fyear // 100, fyear // 100 + 1
+    day = records_ae.ECDS_VISIT[1:]
+    begins, ends = date(this, 4, 1), date(following, 4, 1)
+
+    def from_the_start() -> DataFrame:
+        older = records_ae.visit_days(records_ae.older_prior(tables.read(spark, "aae")), *day)
+        before = visits.filter(F.col("der_financial_year").between("2019/20", f"{this - 1}/{this % 100:02}"))
+        return records_ae.carry_days(before, *day, counts, begins, older)
+
+    carried = build_if_absent(spark, tables.path(f"ae_days/{fyear}"), from_the_start)
+    deprivation = tables.read(spark, "imd")
+    year = records_ae.ecds_year(tables.read(spark, "ecds"), carried, *lookups, deprivation, main, fyear)
+    table = tables.built(spark, "ae")
+    replace_partitions(records_ae.union_systems(table.limit(0), year).select(*table.columns), tables.path("ae"), ATTENDANCE)
+    of_year = visits.filter(F.col("der_financial_year") == f"{this}/{following % 100:02}")
+    kept = records_ae.carry_days(of_year, *day, counts, ends, carried)
+    kept.write.mode("overwrite").parquet(tables.path(f"ae_days/{following * 100 + (following + 1) % 100}"))
+    write_partitioned(records_ae.ae_rollup(tables.built(spark, "ae")), tables.path("ae_rollup"), ATTENDANCE)
+
+
 def inpatient_cohorts(
     spark: SparkSession,
     tables: Tables,
