@@ -20,7 +20,8 @@ SAMPLE = [
     "inp_10_avoidance_rates", "inp_12_preop_rates", "inp_17_top_procedures_small", "inp_20_repatriation_local",
     "inq_03_regressions", "pop_04_rescale_population", "pop_05_rescale_births", "mod_03_op_extract",
     "mod_07_custom_birth_factors", "mod_09_provider_rates", "syn_03_strategy_rates", "syn_05_coded_labels",
-    "snk_02_replace_partitions", "snk_03_merge_cohorts", "snk_05_build_if_absent",
+    "snk_02_replace_partitions", "snk_03_merge_cohorts", "snk_03_merge_snapshot", "snk_05_build_if_absent",
+    "raw_16_frequent_attender_by_year", "mod_04_inequalities_extract", "inp_18_baseline", "inp_21_repatriation_nonlocal",
 ]
 NAMES = sorted(registered.queries()) if os.environ.get("ALL_QUERIES") else SAMPLE
 
