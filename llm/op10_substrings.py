@@ -1,10 +1,14 @@
 """Substring dedup by content-defined chunks.
 
-A gear hash rolls over the bytes of a text; a chunk ends where the top bits of the hash are zero, so its
-borders depend on the bytes just before them only, and an insertion shifts no border beyond its own
-neighbourhood. A chunk is a repeat if its digest occurs earlier in the corpus. Consecutive repeats of enough
-words are cut out. Chunks that repeat within a batch are settled there, so a chunk that is everywhere adds one
-row for each batch to the shuffle.
+1. A gear hash rolls over the bytes of a text; a chunk ends where the top bits of the hash are zero, so its
+   borders depend on the bytes just before them only, and an insertion shifts no border beyond its own
+   neighbourhood.
+2. A chunk is a repeat if its digest of 128 bits occurs earlier in the corpus. Chunks that repeat within a batch
+   are settled there, so a chunk that is everywhere adds one row for each batch to the shuffle. A whole text has
+   a digest too.
+3. A run of repeated chunks grows at both ends, byte by byte, for as long as it agrees with what stands around
+   the first occurrence of its outermost chunk. Only bytes around such occurrences are sent.
+4. Runs of enough words are cut out; a text that is a copy as a whole becomes empty.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.bits import bucket_of, may_need, needed
+from llm.bits import as_array, bucket_of, may_need, needed, test
 from llm.frames import materialise, own, table
 from llm.text import IS_SPACED_WORD, mix, span_hashes, string_buffers, weigh
 
@@ -22,8 +26,15 @@ from llm.text import IS_SPACED_WORD, mix, span_hashes, string_buffers, weigh
 WINDOW = 16
 MIN_CHUNK, MAX_CHUNK = 16, 256
 BORDER_BITS = 5
+#: Bytes that a run may grow beyond its chunks at either end: two of the longest.
+EXTEND = 2 * MAX_CHUNK
 #: Words that a run of repeated chunks must have to be cut out.
 MIN_WORDS = 16
+#: Scripts without spaces: a word of more bytes than this that is not ASCII counts once for every `BYTES_A_WORD`.
+LONG_WORD, BYTES_A_WORD = 48, 6
+#: Number that stands for a text as a whole among its chunks, and buckets of the map of chunks asked for (two megabytes).
+WHOLE = (1 << 31) - 1
+FINE = 1 << 24
 BATCH_BYTES = 2 << 20
 
 GEAR = mix(np.arange(1, 257, dtype=np.uint64)).astype(np.uint32)
@@ -79,45 +90,68 @@ def chunks(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
 
 
 def _occurrences(docs: DataFrame, doc: str, text: str, mark: str) -> DataFrame:
-    """A row for each chunk: digest, document, place (mark of the text and number). `settled` rows repeat one of their batch."""
+    """A row for each chunk and each whole text: digests, document, place (mark of the text and number).
+
+    `settled` rows repeat an earlier one of their batch, which `to_doc` and `to_place` name. Empty and null texts give no row.
+    """
     kind = docs.schema[doc].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
             for part in weigh([batch], text, BATCH_BYTES):
                 data, starts, ends, first = chunks(part.column(text))
-                digest = span_hashes(data, starts, ends)
+                number = np.arange(len(ends)) - np.repeat(first[:-1], np.diff(first))
                 row = np.repeat(np.arange(part.num_rows), np.diff(first))
+                _, offsets = string_buffers(part.column(text))
+                some = np.flatnonzero(np.diff(offsets))
+                digest, check = (
+                    np.concatenate([span_hashes(data, starts, ends, k), span_hashes(data, offsets[some], offsets[some + 1], k + 2)])
+                    for k in (0, 1)
+                )
+                row = np.concatenate([row, some])
+                number = np.concatenate([number, np.full(len(some), WHOLE)])
                 marks = part.column(mark).to_numpy(zero_copy_only=False).astype(np.int64)
-                place = (marks[row] << 32) | (np.arange(len(ends)) - first[row])
+                place = (marks[row] << 32) | number
                 ranks = pa.compute.rank(
                     part.column(doc), "ascending", null_placement="at_start", tiebreaker="dense"
                 ).to_numpy()
-                order = np.lexsort((place, ranks[row], digest))
+                order = np.lexsort((place, ranks[row], check, digest))
                 same = np.zeros(len(order), bool)
-                same[1:] = digest[order[1:]] == digest[order[:-1]]
+                same[1:] = (digest[order[1:]] == digest[order[:-1]]) & (check[order[1:]] == check[order[:-1]])
                 head = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
                 twin = (ranks[row[order]] == ranks[row[head]]) & (place[order] == place[head])
                 settled = np.zeros(len(order), bool)
                 settled[order[same & ~twin]] = True
+                source = np.zeros(len(order), np.int64)
+                source[order] = head
                 digest = np.where(settled, mix(digest ^ place.astype(np.uint64)), digest)
+                docs_ = part.column(doc)
+                mask = pa.array(~settled)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(digest.view(np.int64)),
-                        part.column(doc).take(pa.array(row)),
+                        pa.array(check.view(np.int64)),
+                        docs_.take(pa.array(row)),
                         pa.array(place),
+                        docs_.take(pa.array(row[source], mask=~settled)),
+                        pa.compute.if_else(mask, pa.scalar(None, pa.int64()), pa.array(place[source])),
                         pa.array(settled),
                     ],
-                    names=["digest", "doc", "place", "settled"],
+                    names=["digest", "check", "doc", "place", "to_doc", "to_place", "settled"],
                 )
 
-    return docs.mapInArrow(run, f"digest bigint, doc {kind}, place bigint, settled boolean")
+    columns = f"digest bigint, check bigint, doc {kind}, place bigint, to_doc {kind}, to_place bigint, settled boolean"
+    return docs.mapInArrow(run, columns)
 
 
 def repeated_chunks(docs: DataFrame, doc: str, text: str, mark: str) -> DataFrame:
-    """`(doc, place)` of every chunk that occurs earlier: in a smaller document id, or before it in its own text."""
+    """`(doc, place)` of every chunk that occurs earlier: in a smaller document id, or before it in its own text.
+
+    `to_doc` and `to_place` name its first occurrence or, for `settled` rows, the first of their batch. A number of
+    `WHOLE` stands for a text that an earlier one equals.
+    """
     rows = _occurrences(docs.select(doc, text, mark), doc, text, mark)
-    dealt = rows.repartition("digest").sortWithinPartitions("digest", "settled", "doc", "place")
+    dealt = rows.repartition("digest").sortWithinPartitions("digest", "check", "settled", "doc", "place")
     kind = rows.schema["doc"].dataType.simpleString()
 
     def run(batches):
@@ -126,10 +160,10 @@ def repeated_chunks(docs: DataFrame, doc: str, text: str, mark: str) -> DataFram
             if not batch.num_rows:
                 continue
             part = batch if first is None else pa.Table.from_batches([first, batch]).combine_chunks().to_batches()[0]
-            digest = part.column("digest").to_numpy()
+            digest, check = part.column("digest").to_numpy(), part.column("check").to_numpy()
             settled = part.column("settled").to_numpy(zero_copy_only=False)
             new = np.ones(len(digest), bool)
-            new[1:] = digest[1:] != digest[:-1]
+            new[1:] = (digest[1:] != digest[:-1]) | (check[1:] != check[:-1])
             head = np.maximum.accumulate(np.where(new, np.arange(len(digest)), 0))
             # equal rows of the table are one: they don't repeat each other
             doc, place = part.column("doc"), part.column("place").to_numpy()
@@ -140,24 +174,197 @@ def repeated_chunks(docs: DataFrame, doc: str, text: str, mark: str) -> DataFram
             again = settled | ~twin
             again[: 0 if first is None else 1] = False
             first = part.slice(int(head[-1]), 1)
-            yield part.select(["doc", "place"]).filter(pa.array(again))
+            stays = pa.array(settled)
+            to_doc = pa.compute.if_else(stays, part.column("to_doc"), other)
+            to_place = pa.compute.if_else(stays, part.column("to_place"), pa.array(place[head]))
+            out = pa.RecordBatch.from_arrays(
+                [doc, part.column("place"), stays, to_doc, to_place], names=["doc", "place", "settled", "to_doc", "to_place"]
+            )
+            yield out.filter(pa.array(again))
 
-    return dealt.mapInArrow(run, f"doc {kind}, place bigint")
+    return dealt.mapInArrow(run, f"doc {kind}, place bigint, settled boolean, to_doc {kind}, to_place bigint")
 
 
-def cut_repeats(data: bytes, starts: np.ndarray, ends: np.ndarray, repeats: np.ndarray) -> bytes:
-    """The text without its runs of repeated chunks that hold `MIN_WORDS` whole words or more; only whole words go."""
+def _edges(lists: DataFrame) -> DataFrame:
+    """The outermost chunks of every run of `lists`, by side (0 before, 1 after), with the occurrence they repeat.
+
+    Texts that are copies as a whole need none, and nothing stands before a text's first chunk.
+    """
+    kind = lists.schema["doc"].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            items = batch.column("items")
+            n = pa.compute.list_value_length(items).to_numpy(zero_copy_only=False).astype(np.int64)
+            flat = items.flatten()
+            number = pa.compute.struct_field(flat, "number").to_numpy().astype(np.int64)
+            row = np.repeat(np.arange(len(n)), n)
+            copies = np.zeros(len(n), bool)
+            copies[row[number == WHOLE]] = True
+            new = np.ones(len(row), bool)
+            new[1:] = (row[1:] != row[:-1]) | (number[1:] != number[:-1])
+            at = np.flatnonzero(new & ~copies[row])
+            r, k = row[at], number[at]
+            joined = (r[1:] == r[:-1]) & (k[1:] == k[:-1] + 1)
+            before, after = np.ones(len(at), bool), np.ones(len(at), bool)
+            before[1:] &= ~joined
+            after[:-1] &= ~joined
+            for side, mine in ((0, at[before & (k > 0)]), (1, at[after])):
+                picked = flat.take(pa.array(mine))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("doc").take(pa.array(row[mine])),
+                        batch.column("mark").take(pa.array(row[mine])),
+                        pa.array(number[mine].astype(np.int32)),
+                        pa.array(np.full(len(mine), side, np.int32)),
+                        *(picked.field(c) for c in ("settled", "to_doc", "to_place")),
+                    ],
+                    names=["doc", "mark", "number", "side", "settled", "to_doc", "to_place"],
+                )
+
+    schema = f"doc {kind}, mark int, number int, side int, settled boolean, to_doc {kind}, to_place bigint"
+    return lists.mapInArrow(run, schema)
+
+
+def _bucket(place, side):
+    """Bucket of a chunk and a side; for columns and for arrays."""
+    if isinstance(place, str):
+        mark, number = F.shiftrightunsigned(place, 32), F.col(place).bitwiseAND(F.lit(0xFFFFFFFF))
+        return F.pmod(mark * 40503 + number * 1000003 + F.col(side) * 7919, F.lit(FINE))
+    return ((place >> 32) * 40503 + (place & 0xFFFFFFFF) * 1000003 + side * 7919) % FINE
+
+
+def _around(docs: DataFrame, doc: str, text: str, mark: str, wanted) -> DataFrame:
+    """The bytes before (side 0) and after (side 1) the chunks whose bucket is in `wanted`, `EXTEND` at most."""
+    kind = docs.schema[doc].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            for part in weigh([batch], text, BATCH_BYTES):
+                data, starts, ends, first = chunks(part.column(text))
+                _, offsets = string_buffers(part.column(text))
+                row = np.repeat(np.arange(part.num_rows), np.diff(first))
+                marks = part.column(mark).to_numpy(zero_copy_only=False).astype(np.int64)
+                place = (marks[row] << 32) | (np.arange(len(ends)) - first[row])
+                raw = data.tobytes()
+                for side in (0, 1):
+                    mine = np.flatnonzero(test(wanted.value, _bucket(place, side)))
+                    if side:
+                        low, high = ends[mine], np.minimum(ends[mine] + EXTEND, offsets[row[mine] + 1])
+                    else:
+                        low, high = np.maximum(starts[mine] - EXTEND, offsets[row[mine]]), starts[mine]
+                    for begin in range(0, len(mine), 4096):
+                        some = slice(begin, begin + 4096)
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                part.column(doc).take(pa.array(row[mine[some]])),
+                                pa.array(place[mine[some]]),
+                                pa.array(np.full(len(mine[some]), side, np.int32)),
+                                pa.array([raw[i:j] for i, j in zip(low[some].tolist(), high[some].tolist())], pa.binary()),
+                            ],
+                            names=["to_doc", "to_place", "side", "around"],
+                        )
+
+    return docs.mapInArrow(run, f"to_doc {kind}, to_place bigint, side int, around binary")
+
+
+def surroundings(lists: DataFrame, docs: DataFrame, doc: str, text: str, mark: str) -> DataFrame:
+    """For each document with runs (`doc`, `mark`), what stands around the first occurrences of their outermost chunks."""
+    edges = materialise(_edges(lists))
+    # A settled chunk names the first of its batch, which may repeat an earlier one itself.
+    heads = lists.select("doc", "mark", F.explode("items").alias("item")).select(
+        F.xxhash64("doc").alias("id"),
+        (F.shiftleft(F.col("mark").cast("long"), 32).bitwiseOR(F.col("item.number").cast("long"))).alias("place"),
+        F.col("doc").alias("head"),
+        "item.settled", F.col("item.to_doc").alias("first_doc"), F.col("item.to_place").alias("first_place"),
+    )
+    heads = heads.groupBy("id", "place", "head").agg(F.min(F.struct("settled", "first_doc", "first_place")).alias("first"))
+    again = edges.where("settled").alias("e").join(
+        heads.alias("h"),
+        (F.xxhash64("e.to_doc") == F.col("h.id")) & (F.col("e.to_place") == F.col("h.place")) & F.col("e.to_doc").eqNullSafe(F.col("h.head")),
+        "left",
+    )
+    found = F.col("first").isNotNull()
+    again = again.select(
+        "doc", "mark", "number", "side",
+        F.when(found, F.col("first.first_doc")).otherwise(F.col("to_doc")).alias("to_doc"),
+        F.when(found, F.col("first.first_place")).otherwise(F.col("to_place")).alias("to_place"),
+    )
+    edges = materialise(again.unionByName(edges.where("NOT settled").drop("settled")))
+    wanted = docs.sparkSession.sparkContext.broadcast(as_array(needed(edges, _bucket("to_place", "side")), FINE))
+    around = _around(docs.select(doc, text, mark), doc, text, mark, wanted).withColumn("id", F.xxhash64("to_doc"))
+    around = around.dropDuplicates(["id", "to_place", "side", "to_doc"])
+    asked = edges.withColumn("id", F.xxhash64("to_doc")).alias("e").join(
+        around.alias("a"),
+        (F.col("e.id") == F.col("a.id")) & (F.col("e.to_place") == F.col("a.to_place")) & (F.col("e.side") == F.col("a.side"))
+        & F.col("e.to_doc").eqNullSafe(F.col("a.to_doc")),
+    )
+    return asked.groupBy("doc", "mark").agg(F.collect_list(F.struct("number", "e.side", "around")).alias("around"))
+
+
+def agreement(a: bytes, b: bytes) -> int:
+    """Length of the longest common beginning."""
+    n = min(len(a), len(b))
+    differ = np.flatnonzero(np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n))
+    return int(differ[0]) if len(differ) else n
+
+
+def count_words(data: bytes) -> int:
+    """White-space words; long ones of scripts without spaces count by their bytes."""
+    return sum(1 if len(w) <= LONG_WORD or w.isascii() else len(w) // BYTES_A_WORD for w in data.split())
+
+
+def whole_words(data: bytes, low: int, high: int) -> tuple[int, int]:
+    """The part of a span that holds whole words only; a word that is too long to keep is cut between characters."""
+    inside = lambda i: 0 < i < len(data) and IS_SPACED_WORD[data[i - 1]] and IS_SPACED_WORD[data[i]]
+    within = lambda i: 0 < i < len(data) and data[i] & 0xC0 == 0x80
+    begin, end = low, high
+    while begin < high and begin - low <= LONG_WORD and inside(begin):
+        begin += 1
+    while end > low and high - end <= LONG_WORD and inside(end):
+        end -= 1
+    if inside(begin):
+        begin = low
+        while begin < high and within(begin):
+            begin += 1
+    if inside(end):
+        end = high
+        while end > begin and within(end):
+            end -= 1
+    # the words before and after stay apart
+    if 0 < begin < end < len(data) and IS_SPACED_WORD[data[begin - 1]] and IS_SPACED_WORD[data[end]]:
+        if not IS_SPACED_WORD[data[end - 1]]:
+            end -= 1
+        elif not IS_SPACED_WORD[data[begin]]:
+            begin += 1
+    return begin, end
+
+
+def cut_repeats(
+    data: bytes, starts: np.ndarray, ends: np.ndarray, repeats: np.ndarray, around: dict[tuple[int, int], bytes]
+) -> bytes:
+    """The text without its runs of repeated chunks that hold `MIN_WORDS` whole words or more; only whole words go.
+
+    `around` holds, by chunk and side, the bytes around the first occurrence; runs grow as far as those agree with the text.
+    """
+    if len(repeats) and repeats[-1] == WHOLE:
+        return b""
     flags = np.zeros(len(ends) + 2, np.int8)
     flags[repeats + 1] = 1
     edge = np.flatnonzero(np.diff(flags))
-    out, at = [], 0
+    runs: list[list[int]] = []
     for begin, end in zip(edge[::2].tolist(), edge[1::2].tolist()):
         low, high = int(starts[begin]), int(ends[end - 1])
-        while 0 < low < high and IS_SPACED_WORD[data[low - 1]] and IS_SPACED_WORD[data[low]]:
-            low += 1
-        while low < high < len(data) and IS_SPACED_WORD[data[high - 1]] and IS_SPACED_WORD[data[high]]:
-            high -= 1
-        if len(data[low:high].split()) >= MIN_WORDS:
+        low -= agreement(data[max(0, low - EXTEND) : low][::-1], around.get((begin, 0), b"")[::-1])
+        high += agreement(data[high : high + EXTEND], around.get((end - 1, 1), b""))
+        while runs and low <= runs[-1][1]:
+            before = runs.pop()
+            low, high = min(low, before[0]), max(high, before[1])
+        runs.append([low, high])
+    out, at = [], 0
+    for low, high in runs:
+        low, high = whole_words(data, low, high)
+        if count_words(data[low:high]) >= MIN_WORDS:
             out.append(data[at:low])
             at = high
     out.append(data[at:])
@@ -170,19 +377,29 @@ def dedup_substrings(
     """`docs` without the passages that repeat earlier ones; `n_chars` is set for changed texts.
 
     Of equal passages the one in the smallest document id (null first) stays. Null texts stay null and empty
-    ones empty; a text that repeats as a whole becomes empty and its row stays. Rows that agree in id and text
-    count as one and stay alike; rows that share an id only are ordered by a hash of the text. An empty table
+    ones empty; a text that equals an earlier one, however short, becomes empty and its row stays. Rows that agree
+    in id and text count as one and stay alike; rows that share an id only are ordered by a hash of the text. An empty table
     gives an empty result. `removed` names a column to append: the characters cut out (long).
     """
-    mark, flag, key, mine, list_ = own("mark", "flag", "key", "mine", "list")
+    mark, flag, key, mine, list_, around_ = own("mark", "flag", "key", "mine", "list", "around")
     columns = [*docs.columns, *([removed] if removed else [])]
     marked = docs.withColumn(mark, F.pmod(F.xxhash64(F.col(f"`{text}`")), F.lit(1 << 31)).cast("int"))
     if removed:
         marked = marked.withColumn(removed, F.lit(0).cast("long"))
     found = repeated_chunks(marked, doc_id, text, mark)
+    number = F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("number")
+    lists = materialise(
+        found.groupBy("doc", F.shiftrightunsigned("place", 32).cast("int").alias("mark")).agg(
+            F.sort_array(F.collect_set(F.struct(number, "settled", "to_doc", "to_place"))).alias("items")
+        )
+    )
+    around = surroundings(lists, marked, doc_id, text, mark)
+    lists = lists.alias("l").join(
+        around.alias("a"), F.col("l.doc").eqNullSafe(F.col("a.doc")) & (F.col("l.mark") == F.col("a.mark")), "left"
+    )
     lists = materialise(
-        found.groupBy(F.col("doc").alias(key), F.shiftrightunsigned("place", 32).cast("int").alias(mine)).agg(
-            F.sort_array(F.collect_set(F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int"))).alias(list_)
+        lists.select(
+            F.col("l.doc").alias(key), F.col("l.mark").alias(mine), F.col("items.number").alias(list_), F.col("around").alias(around_)
         )
     )
     # Documents without repeats are not shuffled.
@@ -200,11 +417,13 @@ def dedup_substrings(
                 _, offsets = string_buffers(column)
                 raw = data.tobytes()
                 texts, gone = column.to_pylist(), [0] * part.num_rows
+                asked = part.column(around_)
                 for i, repeats in enumerate(part.column(list_).to_pylist()):
                     if repeats:
+                        near = {(n["number"], n["side"]): n["around"] for n in asked[i].as_py() or ()}
                         a, b, low = first[i], first[i + 1], offsets[i]
                         whole = raw[low : offsets[i + 1]]
-                        cut = cut_repeats(whole, starts[a:b] - low, ends[a:b] - low, np.array(repeats))
+                        cut = cut_repeats(whole, starts[a:b] - low, ends[a:b] - low, np.array(repeats), near)
                         if len(cut) != len(whole):
                             shorter = cut.decode()
                             gone[i] = len(texts[i]) - len(shorter)

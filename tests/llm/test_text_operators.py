@@ -287,31 +287,102 @@ def test_components_of_a_chain_and_a_star(spark):
     assert found == {k: 0 for k in range(61)} | {k: 100 for k in [*range(100, 199), 200]}
 
 
-def plain_repeats(rows):
-    seen, out = set(), {}
-    import pyarrow as pa
+def plain_chunks(data):
+    """Chunk spans by a loop over the bytes: the shift pushes bytes older than the window out of 32 bits."""
+    gear, h, last, out = op10_substrings.GEAR.tolist(), 0, 0, []
+    for at, byte in enumerate(data, 1):
+        h = ((h << 2) + gear[byte]) % 2**32
+        if at - last == 256 or (at - last >= 16 and h < 2**27):
+            out.append((last, at))
+            last = at
+    return out + [(last, len(data))] * (last < len(data))
 
-    from llm.text import span_hashes
 
+def plain_repeats(rows):
+    """Texts without their repeats, from the bytes alone: first occurrences in a dictionary, growth byte by byte."""
+    first, whole, out = {}, set(), {}
     for doc, text in rows:
-        data, starts, ends, _ = op10_substrings.chunks(pa.array([text]))
-        again = []
-        for k, h in enumerate(span_hashes(data, starts, ends).tolist()):
-            if h in seen:
-                again.append(k)
-            seen.add(h)
-        import numpy as np
-
-        cut = op10_substrings.cut_repeats(data.tobytes(), starts, ends, np.array(again, int))
-        out[doc] = None if text is None else cut.decode()
+        data = (text or "").encode()
+        spans = plain_chunks(data)
+        hit = []
+        for low, high in spans:
+            source = first.setdefault(data[low:high], (data, low))
+            hit.append(None if source == (data, low) and source[0] is data else source)
+        if data in whole:
+            out[doc] = ""
+            continue
+        whole.add(data)
+        gone = bytearray(len(data))
+        for k, (low, high) in enumerate(spans):
+            if hit[k] is None:
+                continue
+            gone[low:high] = b"1" * (high - low)
+            source, at = hit[k]
+            for far in range(1, 513):
+                if (k and hit[k - 1]) or far > min(low, at) or data[low - far] != source[at - far]:
+                    break
+                gone[low - far] = 49
+            at += high - low
+            for far in range(512):
+                if (k + 1 < len(spans) and hit[k + 1]) or high + far >= len(data) or at + far >= len(source):
+                    break
+                if data[high + far] != source[at + far]:
+                    break
+                gone[high + far] = 49
+        kept, at = b"", 0
+        for run in re.finditer(rb"1+", bytes(gone)):
+            low, high = run.span()
+            while 0 < low < high and not data[low - 1 : low].isspace() and not data[low : low + 1].isspace():
+                low += 1
+            while low < high < len(data) and not data[high - 1 : high].isspace() and not data[high : high + 1].isspace():
+                high -= 1
+            if 0 < low < high < len(data) and not data[low - 1 : low].isspace() and not data[high : high + 1].isspace():
+                if data[high - 1 : high].isspace():
+                    high -= 1
+                elif data[low : low + 1].isspace():
+                    low += 1
+            if len(data[low:high].split()) >= 16:
+                kept, at = kept + data[at:low], high
+        out[doc] = None if text is None else (kept + data[at:]).decode()
     return out
 
 
 def test_substrings_against_a_scan(spark, docs):
     rows = sorted((r.doc_id, r.text) for r in docs.collect())
-    found = op10_substrings.op10_substrings(spark, SMALL).collect()
-    assert plain_repeats(rows) == {r.doc_id: r.text for r in found}
-    assert any(r.n_removed for r in found)
+    frame = spark.createDataFrame(docs.select("doc_id", "text").rdd, "doc_id long, text string").repartition(5)
+    for found in (op10_substrings.op10_substrings(spark, SMALL), op10_substrings.dedup_substrings(frame, removed="n_removed")):
+        found = found.collect()
+        assert plain_repeats(rows) == {r.doc_id: r.text for r in found}
+        assert any(r.n_removed for r in found)
+
+
+def test_copies_of_short_texts_and_passages_without_spaces_go(spark):
+    rng = random.Random(5)
+    signs = lambda n: "".join(chr(rng.randint(0x4E00, 0x9000)) for _ in range(n))
+    passage = signs(120)
+    texts = ["one two", "one two", "two", signs(80) + passage, signs(60) + passage + signs(70), "the tail", "x " * 30 + "the tail"]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r.text for r in op10_substrings.dedup_substrings(frame).collect()}
+    assert out[1] == "" and out[4] == texts[4].replace(passage, "")
+    assert all(out[k] == texts[k] for k in (0, 2, 3, 5, 6))
+
+
+def test_passages_go_to_the_byte(spark):
+    """Passages of 51 words and more in texts of words that are all different: nothing of them stays, nothing else goes."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(4, 9)))
+    fresh = lambda n: [word() for _ in range(n)]
+    texts, expected = [], []
+    for _ in range(150):
+        passage, a, b, c, d = (fresh(n) for n in (rng.randint(51, 60), 40, 40, rng.randint(0, 40), rng.randint(0, 40)))
+        for before, after in ((a, b), (c, d)):
+            texts.append(" ".join([*before, *passage, *after]))
+        expected.append((a + passage + b, c + d))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r.text.split() for r in op10_substrings.dedup_substrings(frame).collect()}
+    assert all(out[2 * k] == kept for k, (kept, _) in enumerate(expected))
+    exact = sum(out[2 * k + 1] == rest for k, (_, rest) in enumerate(expected))
+    assert exact >= 148, exact
 
 
 def test_planted_passages_go_and_clean_texts_stay(spark):
