@@ -20,10 +20,10 @@ from llm.text import string_buffers, weigh
 
 SLOTS = 1 << 14
 NGRAMS = (1, 2, 3)
-#: Labelled texts used for fitting and landmarks among them, at most (about), shared out evenly to the languages.
+#: Labelled texts used for fitting and landmarks among them (about), shared out evenly to the languages.
 SAMPLE, LANDMARKS = 3000, 128
-#: Languages that can be learned; of more, the most frequent.
-LANGUAGES = 128
+#: With many languages both grow: texts and landmarks that each language has at least, if there are as many.
+SAMPLE_EACH, LANDMARKS_EACH = 24, 4
 RIDGE = 1e-3
 BATCH_BYTES = 1 << 20
 BATCH_TEXTS = 256
@@ -87,8 +87,9 @@ class Model:
     def fit(sets: np.ndarray, labels: list[str]) -> Model:
         """Landmarks are the first rows of each language; the rows should come in random order."""
         languages = sorted(set(labels))
-        number = np.array([languages.index(x) for x in labels])
-        share = max(1, LANDMARKS // len(languages))
+        place = {name: k for k, name in enumerate(languages)}
+        number = np.array([place[x] for x in labels])
+        share = max(LANDMARKS_EACH, LANDMARKS // len(languages))
         chosen = np.concatenate([np.flatnonzero(number == k)[:share] for k in range(len(languages))])
         landmarks = sets[chosen]
         values, vectors = np.linalg.eigh(kernel(landmarks, landmarks).astype(np.float64))
@@ -107,16 +108,21 @@ class Model:
 
 
 def fit(docs: DataFrame, text: str, lang: str) -> Model | None:
-    """Fit on a bounded sample of the rows whose text and language are known; None if there is none."""
+    """Fit on a sample of the rows whose text and language are known, bounded by the number of languages; None if there is none.
+
+    Every language is learned: the text of lowest hash is in the sample, however rare the others.
+    """
     known = docs.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang")).where(
         F.col("text").isNotNull() & F.col("lang").isNotNull()
     )
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    place = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("count"), F.min(place).alias("least")).orderBy("lang").collect()
     if not counts:
         return None
-    each = SAMPLE / len(counts)
-    rates = docs.sparkSession.createDataFrame([(r["lang"], min(1.0, each / r["count"])) for r in counts], "lang string, rate double")
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
+    each = max(SAMPLE / len(counts), SAMPLE_EACH)
+    rates = docs.sparkSession.createDataFrame(
+        [(r["lang"], max(r["least"], min(1.0, each / r["count"]))) for r in counts], "lang string, rate double"
+    )
     sample = known.join(F.broadcast(rates), "lang").where(place <= F.col("rate")).select("text", "lang", place.alias("place"))
 
     def run(batches):
@@ -129,7 +135,8 @@ def fit(docs: DataFrame, text: str, lang: str) -> Model | None:
                 )
 
     rows = sample.mapInArrow(run, "bits binary, lang string, place double").dropDuplicates(["bits", "lang"])
-    rows = rows.orderBy("place", "lang").limit(2 * SAMPLE).collect()
+    # Equal texts are one row, and no more than about `each` different ones of a language are expected.
+    rows = rows.orderBy("place", "lang").collect()
     sets = np.unpackbits(np.array([np.frombuffer(r["bits"], np.uint8) for r in rows]), axis=1).astype(bool)
     return Model.fit(sets, [r["lang"] for r in rows])
 

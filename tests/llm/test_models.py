@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import random
 import zlib
 
 import numpy as np
@@ -139,6 +140,36 @@ def test_languages_odd_rows(odd):
     assert {r.lang_pred for r in op7_language.identify(unknown).collect()} == {"und"}
 
 
+def test_more_languages_than_landmarks(spark):
+    """Each of 200 languages has three letters of its own; all are learned, also one with a single text."""
+    rng = random.Random(4)
+    rows, letters = [], lambda k: "".join(chr(0x4E00 + 3 * k + i) for i in range(3))
+    for k in range(200):
+        for _ in range(1 if k == 7 else 6):
+            rows.append(("".join(rng.choice(letters(k)) for _ in range(30)), f"l{k}"))
+    frame = spark.createDataFrame(rows, "text string, lang string")
+    model = op7_language.fit(frame, "text", "lang")
+    assert model.languages == sorted({lang for _, lang in rows})
+    found = op7_language.add_language(frame, model, "text", "guess", "sure").collect()
+    assert np.mean([r.guess == r.lang for r in found]) >= 0.98
+
+
+def test_kernel_and_regression_by_hand():
+    """The kernel is set arithmetic; with every row a landmark the weights solve the kernel regression directly."""
+    rng = np.random.default_rng(2)
+    sets = rng.random((24, 60)) < 0.3
+    members = [set(np.flatnonzero(r)) for r in sets]
+    plain = np.array([[len(a & b) / np.sqrt(len(a) * len(b)) for b in members] for a in members])
+    assert np.allclose(op7_language.kernel(sets, sets), plain, atol=1e-5)
+    labels = ["a"] * 12 + ["b"] * 12
+    model = op7_language.Model.fit(sets, labels)
+    target = np.where(np.array(labels)[:, None] == np.array(["a", "b"]), 1.0, -1.0)
+    centre = np.eye(24) - 1 / 24
+    dual = np.linalg.solve(centre @ plain @ centre + op7_language.RIDGE * 24 * np.eye(24), centre @ target)
+    direct = centre @ plain @ centre @ dual + target.mean(axis=0)
+    assert np.allclose(model.decide(sets), direct, atol=1e-2)
+
+
 def test_presence_by_hand():
     import pyarrow as pa
 
