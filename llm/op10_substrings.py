@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from llm.bits import as_array, bucket_of, may_need, needed, test
+from llm.bits import bucket_of, may_need, needed
 from llm.frames import materialise, own, table
 from llm.text import IS_SPACED_WORD, mix, span_hashes, string_buffers, weigh
 
@@ -32,9 +32,8 @@ EXTEND = 2 * MAX_CHUNK
 MIN_WORDS = 16
 #: Scripts without spaces: a word of more bytes than this that is not ASCII counts once for every `BYTES_A_WORD`.
 LONG_WORD, BYTES_A_WORD = 48, 6
-#: Number that stands for a text as a whole among its chunks, and buckets of the map of chunks asked for (two megabytes).
+#: Number that stands for a text as a whole among its chunks.
 WHOLE = (1 << 31) - 1
-FINE = 1 << 24
 BATCH_BYTES = 2 << 20
 
 GEAR = mix(np.arange(1, 257, dtype=np.uint64)).astype(np.uint32)
@@ -190,7 +189,6 @@ def _edges(lists: DataFrame) -> DataFrame:
 
     Texts that are copies as a whole need none, and nothing stands before a text's first chunk.
     """
-    kind = lists.schema["doc"].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
@@ -213,93 +211,76 @@ def _edges(lists: DataFrame) -> DataFrame:
                 picked = flat.take(pa.array(mine))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc").take(pa.array(row[mine])),
+                        batch.column("id").take(pa.array(row[mine])),
                         batch.column("mark").take(pa.array(row[mine])),
                         pa.array(number[mine].astype(np.int32)),
                         pa.array(np.full(len(mine), side, np.int32)),
-                        *(picked.field(c) for c in ("settled", "to_doc", "to_place")),
+                        *(pa.compute.struct_field(picked, c) for c in ("settled", "to_id", "to_place")),
                     ],
-                    names=["doc", "mark", "number", "side", "settled", "to_doc", "to_place"],
+                    names=["id", "mark", "number", "side", "settled", "to_id", "to_place"],
                 )
 
-    schema = f"doc {kind}, mark int, number int, side int, settled boolean, to_doc {kind}, to_place bigint"
-    return lists.mapInArrow(run, schema)
+    return lists.mapInArrow(run, "id bigint, mark int, number int, side int, settled boolean, to_id bigint, to_place bigint")
 
 
-def _bucket(place, side):
-    """Bucket of a chunk and a side; for columns and for arrays."""
-    if isinstance(place, str):
-        mark, number = F.shiftrightunsigned(place, 32), F.col(place).bitwiseAND(F.lit(0xFFFFFFFF))
-        return F.pmod(mark * 40503 + number * 1000003 + F.col(side) * 7919, F.lit(FINE))
-    return ((place >> 32) * 40503 + (place & 0xFFFFFFFF) * 1000003 + side * 7919) % FINE
-
-
-def _around(docs: DataFrame, doc: str, text: str, mark: str, wanted) -> DataFrame:
-    """The bytes before (side 0) and after (side 1) the chunks whose bucket is in `wanted`, `EXTEND` at most."""
-    kind = docs.schema[doc].dataType.simpleString()
+def _around(docs: DataFrame, text: str) -> DataFrame:
+    """The bytes before (side 0) and after (side 1) the chunks that `asked` lists for each text, `EXTEND` at most."""
 
     def run(batches):
         for batch in batches:
             for part in weigh([batch], text, BATCH_BYTES):
                 data, starts, ends, first = chunks(part.column(text))
                 _, offsets = string_buffers(part.column(text))
-                row = np.repeat(np.arange(part.num_rows), np.diff(first))
-                marks = part.column(mark).to_numpy(zero_copy_only=False).astype(np.int64)
-                place = (marks[row] << 32) | (np.arange(len(ends)) - first[row])
+                asked = part.column("asked")
+                n = pa.compute.list_value_length(asked).to_numpy(zero_copy_only=False).astype(np.int64)
+                flat = asked.flatten()
+                number, side = (pa.compute.struct_field(flat, c).to_numpy() for c in ("number", "side"))
+                row = np.repeat(np.arange(len(n)), n)
+                chunk = first[row] + number
+                low = np.where(side == 1, ends[chunk], np.maximum(starts[chunk] - EXTEND, offsets[row]))
+                high = np.where(side == 1, np.minimum(ends[chunk] + EXTEND, offsets[row + 1]), starts[chunk])
+                marks = part.column("mark").to_numpy().astype(np.int64)
                 raw = data.tobytes()
-                for side in (0, 1):
-                    mine = np.flatnonzero(test(wanted.value, _bucket(place, side)))
-                    if side:
-                        low, high = ends[mine], np.minimum(ends[mine] + EXTEND, offsets[row[mine] + 1])
-                    else:
-                        low, high = np.maximum(starts[mine] - EXTEND, offsets[row[mine]]), starts[mine]
-                    for begin in range(0, len(mine), 4096):
-                        some = slice(begin, begin + 4096)
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                part.column(doc).take(pa.array(row[mine[some]])),
-                                pa.array(place[mine[some]]),
-                                pa.array(np.full(len(mine[some]), side, np.int32)),
-                                pa.array([raw[i:j] for i, j in zip(low[some].tolist(), high[some].tolist())], pa.binary()),
-                            ],
-                            names=["to_doc", "to_place", "side", "around"],
-                        )
-
-    return docs.mapInArrow(run, f"to_doc {kind}, to_place bigint, side int, around binary")
+                for begin in range(0, len(row), 4096):
+                    some = slice(begin, begin + 4096)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            part.column("to_id").take(pa.array(row[some])),
+                            pa.array((marks[row[some]] << 32) | number[some]),
+                            pa.array(side[some]),
+                            pa.array([raw[i:j] for i, j in zip(low[some].tolist(), high[some].tolist())], pa.binary()),
+                        ],
+                        names=["to_id", "to_place", "side", "around"],
+                    )
+
+    return docs.mapInArrow(run, "to_id bigint, to_place bigint, side int, around binary")
 
 
 def surroundings(lists: DataFrame, docs: DataFrame, doc: str, text: str, mark: str) -> DataFrame:
-    """For each document with runs (`doc`, `mark`), what stands around the first occurrences of their outermost chunks."""
+    """For each text with runs (`id`, `mark`), what stands around the first occurrences of their outermost chunks."""
     edges = materialise(_edges(lists))
     # A settled chunk names the first of its batch, which may repeat an earlier one itself.
-    heads = lists.select("doc", "mark", F.explode("items").alias("item")).select(
-        F.xxhash64("doc").alias("id"),
-        (F.shiftleft(F.col("mark").cast("long"), 32).bitwiseOR(F.col("item.number").cast("long"))).alias("place"),
-        F.col("doc").alias("head"),
-        "item.settled", F.col("item.to_doc").alias("first_doc"), F.col("item.to_place").alias("first_place"),
-    )
-    heads = heads.groupBy("id", "place", "head").agg(F.min(F.struct("settled", "first_doc", "first_place")).alias("first"))
-    again = edges.where("settled").alias("e").join(
-        heads.alias("h"),
-        (F.xxhash64("e.to_doc") == F.col("h.id")) & (F.col("e.to_place") == F.col("h.place")) & F.col("e.to_doc").eqNullSafe(F.col("h.head")),
-        "left",
-    )
-    found = F.col("first").isNotNull()
-    again = again.select(
-        "doc", "mark", "number", "side",
-        F.when(found, F.col("first.first_doc")).otherwise(F.col("to_doc")).alias("to_doc"),
-        F.when(found, F.col("first.first_place")).otherwise(F.col("to_place")).alias("to_place"),
+    place = F.shiftleft(F.col("mark").cast("long"), 32).bitwiseOR(F.col("item.number").cast("long"))
+    heads = lists.select("id", "mark", F.explode("items").alias("item")).groupBy(
+        F.col("id").alias("to_id"), place.alias("to_place")
+    ).agg(F.min(F.struct("item.settled", "item.to_id", "item.to_place")).alias("first"))
+    again = edges.where("settled").join(heads, ["to_id", "to_place"], "left").select(
+        "id", "mark", "number", "side",
+        F.coalesce("first.to_id", "to_id").alias("to_id"), F.coalesce("first.to_place", "to_place").alias("to_place"),
     )
     edges = materialise(again.unionByName(edges.where("NOT settled").drop("settled")))
-    wanted = docs.sparkSession.sparkContext.broadcast(as_array(needed(edges, _bucket("to_place", "side")), FINE))
-    around = _around(docs.select(doc, text, mark), doc, text, mark, wanted).withColumn("id", F.xxhash64("to_doc"))
-    around = around.dropDuplicates(["id", "to_place", "side", "to_doc"])
-    asked = edges.withColumn("id", F.xxhash64("to_doc")).alias("e").join(
-        around.alias("a"),
-        (F.col("e.id") == F.col("a.id")) & (F.col("e.to_place") == F.col("a.to_place")) & (F.col("e.side") == F.col("a.side"))
-        & F.col("e.to_doc").eqNullSafe(F.col("a.to_doc")),
+    # Only texts that something was first seen in are sent, once each, to the list of what is asked of them.
+    asked = materialise(
+        edges.groupBy("to_id", F.shiftrightunsigned("to_place", 32).cast("int").alias("mark")).agg(
+            F.collect_set(F.struct(F.col("to_place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("number"), "side")).alias("asked")
+        )
+    )
+    sources = docs.select(F.xxhash64(F.col(f"`{doc}`")).alias("to_id"), F.col(mark).alias("mark"), F.col(f"`{text}`").alias("text"))
+    sources = may_need(sources, needed(asked, bucket_of("to_id", "mark")), bucket_of("to_id", "mark"), "flag").where("flag").drop("flag")
+    around = _around(sources.dropDuplicates(["to_id", "mark"]).join(asked, ["to_id", "mark"]), "text")
+    return edges.join(around, ["to_id", "to_place", "side"]).groupBy("id", "mark").agg(
+        F.collect_list(F.struct("number", "side", "around")).alias("around")
     )
-    return asked.groupBy("doc", "mark").agg(F.collect_list(F.struct("number", "e.side", "around")).alias("around"))
 
 
 def agreement(a: bytes, b: bytes) -> int:
@@ -381,31 +362,27 @@ def dedup_substrings(
     in id and text count as one and stay alike; rows that share an id only are ordered by a hash of the text. An empty table
     gives an empty result. `removed` names a column to append: the characters cut out (long).
     """
-    mark, flag, key, mine, list_, around_ = own("mark", "flag", "key", "mine", "list", "around")
+    mark, flag, key, list_, around_ = own("mark", "flag", "key", "list", "around")
     columns = [*docs.columns, *([removed] if removed else [])]
     marked = docs.withColumn(mark, F.pmod(F.xxhash64(F.col(f"`{text}`")), F.lit(1 << 31)).cast("int"))
     if removed:
         marked = marked.withColumn(removed, F.lit(0).cast("long"))
     found = repeated_chunks(marked, doc_id, text, mark)
     number = F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("number")
+    item = F.struct(number, "settled", F.xxhash64("to_doc").alias("to_id"), "to_place")
+    # A text is named by a hash of its id (64 bits) and one of its text (31), so that null ids join too.
     lists = materialise(
-        found.groupBy("doc", F.shiftrightunsigned("place", 32).cast("int").alias("mark")).agg(
-            F.sort_array(F.collect_set(F.struct(number, "settled", "to_doc", "to_place"))).alias("items")
+        found.groupBy(F.xxhash64("doc").alias("id"), F.shiftrightunsigned("place", 32).cast("int").alias("mark")).agg(
+            F.sort_array(F.collect_set(item)).alias("items")
         )
     )
     around = surroundings(lists, marked, doc_id, text, mark)
-    lists = lists.alias("l").join(
-        around.alias("a"), F.col("l.doc").eqNullSafe(F.col("a.doc")) & (F.col("l.mark") == F.col("a.mark")), "left"
-    )
-    lists = materialise(
-        lists.select(
-            F.col("l.doc").alias(key), F.col("l.mark").alias(mine), F.col("items.number").alias(list_), F.col("around").alias(around_)
-        )
-    )
+    named = lambda df, column, name: df.select(F.col("id").alias(key), F.col("mark").alias(mark), F.col(column).alias(name))
     # Documents without repeats are not shuffled.
-    flagged = may_need(marked, needed(lists, bucket_of(key, mine)), bucket_of(doc_id, mark), flag)
-    same = F.col(f"`{doc_id}`").eqNullSafe(F.col(key)) & (F.col(mark) == F.col(mine))
-    touched = flagged.where(F.col(flag)).join(lists, same, "left").drop(key, mine)
+    marked = marked.withColumn(key, F.xxhash64(F.col(f"`{doc_id}`")))
+    flagged = may_need(marked, needed(lists, bucket_of("id", "mark")), bucket_of(key, mark), flag)
+    touched = flagged.where(F.col(flag)).join(named(lists, "items.number", list_), [key, mark], "left")
+    touched = touched.join(named(around, "around", around_), [key, mark], "left")
 
     counted = n_chars is not None and n_chars in docs.columns
 
