@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlake.functions.expressions import flag, quintile
+from cohortlake.functions.skew import broadcast_if_small
 
 # fixed values: sites that count towards another provider
 SITE_OVERRIDES = {"RW602": "R0A", "RM318": "R0A"}
@@ -30,8 +31,9 @@ def add_provider(
 
 def add_main_group(df: DataFrame, main: DataFrame, by: str = "provider", of: str = "icb") -> DataFrame:
     """`is_main_icb`: whether the record's ICB is the main one of its provider (null counts as no)."""
+    main = broadcast_if_small(main.select(by, F.col("main_icb").alias("_main")))  # few providers have most records
     return (
-        df.join(main.select(by, F.col("main_icb").alias("_main")), by, "left")
+        df.join(main, by, "left")
         .withColumn("is_main_icb", flag(F.col(of) == F.col("_main")))
         .drop("_main")
     )

@@ -10,6 +10,15 @@ from cohortlake.operators.attribution import add_area, add_icb, add_main_group,
 from cohortlake.operators.reference import drop_org_types
 
 
+def attended(opa: DataFrame) -> DataFrame:
+    """Attended appointments with their age."""
+    return (
+        opa.withColumn("age", coded_age(F.col("apptage")))
+        .filter(F.col("atentype").isin("1", "2", "21", "22"))
+        .filter(F.col("sex").isin("1", "2") & F.col("age").between(0, 90))
+    )
+
+
 def op_flags(opa: DataFrame) -> DataFrame:
     """Attended appointments with their flags.
 
@@ -18,9 +27,7 @@ def op_flags(opa: DataFrame) -> DataFrame:
     referred = F.col("firstatt").isin("1", "3")
     tele = F.col("atentype").isin("21", "22").cast("int")
     return (
-        opa.withColumn("age", coded_age(F.col("apptage")))
-        .filter(F.col("atentype").isin("1", "2", "21", "22"))
-        .filter(F.col("sex").isin("1", "2") & F.col("age").between(0, 90))
+        attended(opa)
         .withColumn("is_surgical_specialty", F.col("tretspef").rlike(SURGICAL_SPECIALTY))
         .withColumn("is_adult", F.col("apptage").between(18, 7000))
         .withColumn("is_gp_ref", (F.col("refsourc") == "03") & referred)
@@ -72,15 +79,18 @@ def op_records(
     areas: DataFrame,
     main_icb: DataFrame,
 ) -> DataFrame:
-    """The outpatient table: every attended appointment, labelled."""
-    visits = drop_org_types(add_provider(op_flags(opa), trusts), trusts)
+    """The outpatient table: every attended appointment, labelled.
+
+    The codes come first, by the only join that moves attendances, so that labels are not moved with them.
+    """
+    visits = drop_org_types(add_provider(attended(opa), trusts), trusts)
+    visits = op_flags(add_primary_codes(visits, diagnoses, procedures, ["attendkey", "fyear", "procode3"]))
     visits = add_area(add_main_group(add_icb(visits, ccg_to_icb), main_icb), areas)
-    visits = op_labels(
+    return op_labels(
         visits.withColumn("tretspef_grouped", specialty_group(F.col("tretspef")))
         .withColumn("age_group", age_band(F.col("age")))
         .withColumn("sex", F.col("sex").cast("int"))
-    )
-    return add_primary_codes(visits, diagnoses, procedures, ["attendkey", "fyear", "procode3"]).select(*OP_COLUMNS)
+    ).select(*OP_COLUMNS)
 
 
 # outpatient cohorts: name and the condition that puts an attendance in it
