@@ -24,8 +24,13 @@ class Tables:
         return f"{self.target}/{name}"
 
 
+# The JVM doesn't compile methods of more than 8,000 bytes of code, and Spark makes one method of a whole stage. Stages with
+# that many expressions are then run operator by operator, whose methods are cut into small ones.
+COMPILED = ("spark.sql.codegen.hugeMethodLimit", "8000")
+
 # settings the jobs are meant to run with; sizes of shuffles and joins are left to AQE
 SESSION = {
+    COMPILED[0]: COMPILED[1],
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
