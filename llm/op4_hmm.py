@@ -30,6 +30,8 @@ ENDING_BYTES = 3
 ROUNDS = 12
 #: Tokens in a window of training and in a piece of scoring.
 WINDOW, PIECE = 256, 256
+#: Windows handled side by side in training, and steps between two scalings of them.
+SIDE, SCALED = 512, 8
 #: Text read at a time; text and distinct words of a chunk, and words in a bucket, about.
 BATCH_BYTES = 2 << 20
 CHUNK_BYTES, CHUNK_WORDS = 64 << 20, 1 << 20
@@ -375,31 +377,50 @@ def pad(lines: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def expected_counts(model: Model, lines: list[np.ndarray]) -> np.ndarray:
-    """Baum-Welch's expected counts of one batch of sequences: starts, moves and emissions, flat."""
-    tokens, alive = pad(lines)
-    length, width = tokens.shape
-    forward = np.zeros((length, width, STATES))
-    scale = np.ones((length, width))
-    for t in range(length):
-        n = alive[t]
-        emit = model.emit[tokens[t, :n]]
-        forward[t, :n] = emit * (model.start if t == 0 else forward[t - 1, :n] @ model.move)
-        scale[t, :n] = forward[t, :n].sum(axis=1)
-        forward[t, :n] /= scale[t, :n, None]
-    move = np.zeros((STATES, STATES))
-    backward = np.ones((width, STATES))
-    for t in range(length - 1, -1, -1):
-        n = alive[t]
-        state = forward[t, :n] * backward[:n]
+    """Baum-Welch's expected counts of one batch of sequences: starts, moves and emissions, flat.
+
+    The tokens of all sequences lie step by step, the longest sequence first. The forward values of a sequence are scaled
+    at every `SCALED`-th step and at its end, which keeps them far from the limits of doubles; the backward values are
+    scaled by the same numbers.
+    """
+    lines = sorted(lines, key=len, reverse=True)
+    sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+    alive = np.searchsorted(-sizes, -np.arange(sizes[0]), side="left")
+    begin = np.concatenate([[0], np.cumsum(alive)])
+    step = np.arange(begin[-1]) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    tokens = np.empty(begin[-1], np.int64)
+    tokens[begin[step] + np.repeat(np.arange(len(lines)), sizes)] = np.concatenate(lines)
+    seen = model.emit.take(tokens, axis=0)
+    forward = np.empty((len(tokens), STATES))
+    ones, scale = np.ones(STATES), {}
+    edges = list(zip(begin[:-1].tolist(), begin[1:].tolist()))
+    for t, (b, e) in enumerate(edges):
+        now = forward[b:e]
         if t:
-            after = model.emit[tokens[t, :n]] * backward[:n] / scale[t, :n, None]
-            move += forward[t - 1, :n].T @ after
-            backward[:n] = after @ model.move.T
-        forward[t, :n] = state
-    inside = np.arange(width) < alive[:, None]
-    flat, states = tokens[inside], forward[inside]
-    emit = np.stack([np.bincount(flat, weights=states[:, s], minlength=CLASSES) for s in range(STATES)], axis=1)
-    return np.concatenate([forward[0].sum(axis=0), (move * model.move).ravel(), emit.ravel()])
+            before = edges[t - 1][0]
+            np.matmul(forward[before : before + e - b], model.move, out=now)
+        else:
+            now[:] = model.start
+        now *= seen[b:e]
+        if t % SCALED == SCALED - 1:
+            scale[t] = 1.0 / (now @ ones)[:, None]
+            now *= scale[t]
+    last = forward[begin[sizes - 1] + np.arange(len(lines))] @ ones
+    backward = np.repeat(1.0 / last, STATES).reshape(len(lines), STATES)
+    move, back = np.zeros((STATES, STATES)), np.ascontiguousarray(model.move.T)
+    for t in range(len(edges) - 1, 0, -1):
+        (b, e), before = edges[t], edges[t - 1][0]
+        after, later = seen[b:e], backward[: e - b]
+        after *= later
+        forward[b:e] *= later
+        if t in scale:
+            after *= scale[t]
+        move += forward[before : before + e - b].T @ after
+        np.matmul(after, back, out=later)
+    forward[: len(lines)] *= backward
+    cells = (tokens[:, None] * STATES + np.arange(STATES)).ravel()
+    emit = np.bincount(cells, weights=forward.ravel(), minlength=CLASSES * STATES)
+    return np.concatenate([forward[: len(lines)].sum(axis=0), (move * model.move).ravel(), emit])
 
 
 def windows(line: np.ndarray) -> list[np.ndarray]:
@@ -468,9 +489,9 @@ def _round(texts: DataFrame, model: Model, unigram: np.ndarray) -> Model:
         total = np.zeros(size)
         for batch in batches:
             for _, lines in _batches(batch):
-                pieces = [w for line in lines for w in windows(line)]
-                for begin in range(0, len(pieces), 1024):
-                    total += expected_counts(sent.value, pieces[begin : begin + 1024])
+                pieces = sorted((w for line in lines for w in windows(line)), key=len, reverse=True)
+                for begin in range(0, len(pieces), SIDE):
+                    total += expected_counts(sent.value, pieces[begin : begin + SIDE])
         if total.any():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([TaskContext.get().partitionId() % 61], pa.int32()), pa.array([total.tobytes()], pa.binary())],
@@ -485,9 +506,9 @@ def _round(texts: DataFrame, model: Model, unigram: np.ndarray) -> Model:
 
     parts = texts.select("classes").mapInArrow(run, "salt int, counts binary")
     parts = parts.groupBy("salt").applyInArrow(add, "salt int, counts binary")
-    # At most 61 vectors of a quarter of a megabyte.
+    # At most 61 vectors of a quarter of a megabyte, in one job instead of one after the other for each partition.
     total = np.zeros(size)
-    for row in parts.toLocalIterator():
+    for row in parts.collect():
         total += np.frombuffer(row["counts"])
     return Model.from_counts(total, unigram)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -61,6 +62,21 @@ def test_forward_and_counts_against_all_paths(monkeypatch):
     assert np.allclose(op4_hmm.expected_counts(model, lines), sum(c for _, c in exact))
 
 
+def test_hmm_counts_of_uneven_windows():
+    """Windows of very different lengths: no room or work for steps that a window doesn't have, and no step lost to scaling."""
+    rng = np.random.default_rng(5)
+    model = op4_hmm.Model.begin(rng.random(op4_hmm.CLASSES) ** 40 + 1e-18)
+    lines = [rng.integers(0, op4_hmm.CLASSES, size) for size in (256, 9, 8, 7, *[1] * 500)]
+    apart = sum(op4_hmm.expected_counts(model, [line]) for line in lines)
+    tracemalloc.start()
+    together = op4_hmm.expected_counts(model, lines)
+    assert tracemalloc.get_traced_memory()[1] < 2 << 20
+    tracemalloc.stop()
+    assert np.allclose(together, apart)
+    emitted = together[-op4_hmm.CLASSES * op4_hmm.STATES :].reshape(op4_hmm.CLASSES, op4_hmm.STATES).sum(axis=1)
+    assert np.allclose(emitted, np.bincount(np.concatenate(lines), minlength=op4_hmm.CLASSES))
+
+
 def test_training_rounds_never_lower_the_likelihood(monkeypatch):
     monkeypatch.setattr(op4_hmm, "CLASSES", 12)
     rng = np.random.default_rng(1)
