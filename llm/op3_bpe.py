@@ -22,10 +22,12 @@ from pyspark.sql import functions as F
 from llm.frames import own, table
 from llm.text import span_hashes, weigh
 
-#: Text bytes handled together, distinct words remembered between batches, leaves of the trees built together.
-BATCH_BYTES = 2 << 20
+#: Text bytes handled together, distinct words remembered between batches, leaves of the trees built together, code points
+#: classified together: a worker's memory follows them.
+BATCH_BYTES = 1 << 19
 CACHE_WORDS = 400_000
-LEAVES = 1 << 19
+LEAVES = 1 << 17
+CODE_POINTS = 1 << 12
 NONE = np.int64(1) << 60
 SPACE, LETTER, NUMBER, OTHER = range(4)
 
@@ -40,12 +42,12 @@ def default_vocabulary() -> str:
 @lru_cache(maxsize=1)
 def classes() -> np.ndarray:
     """Class of every code point: white space, letter, number, other."""
-    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
-    every = "".join(points)
     out = np.full(0x110000, OTHER, np.uint8)
-    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\p{White_Space}+")):
-        for found in regex.finditer(pattern, every):
-            out[ord(every[found.start()]) : ord(every[found.end() - 1]) + 1] = kind
+    for first in range(0, 0x110000, CODE_POINTS):
+        every = "".join(chr(c) for c in range(first, first + CODE_POINTS) if not 0xD800 <= c < 0xE000)
+        for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\p{White_Space}+")):
+            for found in regex.finditer(pattern, every):
+                out[ord(every[found.start()]) : ord(every[found.end() - 1]) + 1] = kind
     return out
 
 
@@ -260,7 +262,7 @@ class Encoder:
             pieces.append(normalise(text[at:]))
             owner.append(number)
         whole = "\n".join(pieces)
-        points = np.frombuffer(whole.encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
+        points = np.frombuffer(whole.encode("utf-32-le", "replace"), np.uint32)
         starts, ends = word_spans(points)
         piece_ends = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)) + 1)
         piece_of = np.searchsorted(piece_ends, starts, side="right")
@@ -313,27 +315,14 @@ def encode(docs: DataFrame, text: str, ids: str, path: str | None = None) -> Dat
 def decode(docs: DataFrame, ids: str, text: str, path: str | None = None) -> DataFrame:
     """Append `text`: the tokens of `ids` joined by one space, as this vocabulary (which has no decoder) defines it.
 
-    Null ids give null, no ids empty text; an id that isn't in the vocabulary raises.
+    Null ids give null, no ids empty text; an id that isn't in the vocabulary raises. Spark looks the tokens up itself, so
+    that no second Python worker stands beside that of `encode`.
     """
-    path = path or default_vocabulary()
-
-    def run(batches):
-        tokens = Vocabulary.read(path).tokens
-        for batch in batches:
-            for begin in range(0, batch.num_rows, 512):
-                part = batch.slice(begin, 512)
-                column = part.column(ids)
-                flat = column.flatten().to_numpy(zero_copy_only=False)
-                counts = pa.compute.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False)
-                ends = np.cumsum(counts)
-                valid = column.is_valid().to_pylist()
-                texts = [
-                    " ".join(tokens[flat[e - n : e]].tolist()) if ok else None
-                    for e, n, ok in zip(ends.tolist(), counts.tolist(), valid)
-                ]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, text])
-
-    return docs.mapInArrow(run, docs.withColumn(text, F.lit("").cast("string")).schema)
+    tokens = Vocabulary.read(path or default_vocabulary()).tokens.tolist()
+    known = F.from_json(F.lit(json.dumps(tokens)), "array<string>")  # a constant, made once when Spark plans
+    missing = lambda i: F.raise_error(F.concat(F.lit("not in the vocabulary: "), F.coalesce(i.cast("string"), F.lit("null"))))
+    token = lambda i: F.when(i.between(0, len(tokens) - 1), F.get(known, i)).otherwise(missing(i))
+    return docs.withColumn(text, F.array_join(F.transform(F.col(f"`{ids}`"), token), " "))
 
 
 def round_trip(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:

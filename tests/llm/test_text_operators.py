@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -136,6 +137,23 @@ def test_bpe_against_the_library(spark, docs, odd):
     assert op3_bpe.encode(odd.limit(0), "text", "ids").count() == 0
 
 
+def test_bpe_keeps_workers_small(spark, odd):
+    """Decoding takes no second Python worker, and classes of characters are made in pieces."""
+    coded = spark.createDataFrame([([0, 5, 0],), ([],), (None,)], "ids array<int>")
+    back = op3_bpe.decode(coded, "ids", "back")
+    assert "InArrow" not in back._jdf.queryExecution().executedPlan().toString()
+    tokens = op3_bpe.Vocabulary.read(op3_bpe.default_vocabulary()).tokens
+    assert [r.back for r in back.collect()] == [" ".join(tokens[[0, 5, 0]]), "", None]
+    for wrong in (-1, len(tokens), None):
+        with pytest.raises(Exception, match="not in the vocabulary"):
+            op3_bpe.decode(spark.createDataFrame([([wrong],)], "ids array<int>"), "ids", "back").collect()
+    op3_bpe.classes.cache_clear()
+    tracemalloc.start()
+    op3_bpe.classes()
+    assert tracemalloc.get_traced_memory()[1] < 10 << 20
+    tracemalloc.stop()
+
+
 def test_bpe_random_characters():
     from tokenizers import Tokenizer
 
