@@ -39,8 +39,9 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-#: Blocks of eight bytes that `span_hashes` reads at a time.
+#: Blocks of eight bytes, or spans, that `span_hashes` reads at a time, and blocks of a span that counts as short.
 _STRETCH = 1 << 18
+_SHORT = 8
 #: The low `k` bytes of a block.
 _LOW_BYTES = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
 
@@ -56,6 +57,36 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: in
     eights = np.ndarray(len(raw) - 7, np.dtype("<u8"), buffer=raw, strides=(1,))
     begin = np.asarray(starts, np.int64) * width
     size = np.asarray(ends, np.int64) * width - begin
+    out = np.zeros(len(begin), np.uint64)
+    for i in range(0, len(begin), _STRETCH):
+        out[i : i + _STRETCH] = _first_blocks(eights, begin[i : i + _STRETCH], size[i : i + _STRETCH], seed)
+    long = np.flatnonzero(size > 8 * _SHORT)
+    if len(long):
+        out[long] = _all_blocks(eights, begin[long], size[long], seed)
+    return mix(out + size.astype(np.uint64) * np.uint64(_ODD))
+
+
+def _salt(number: np.ndarray, seed: int) -> np.ndarray:
+    """What the blocks with these numbers are mixed with."""
+    return mix(number.astype(np.uint64) * np.uint64(_ODD) + np.uint64((seed * _ODD + 1) & _ALL))
+
+
+def _first_blocks(eights: np.ndarray, begin: np.ndarray, size: np.ndarray, seed: int) -> np.ndarray:
+    """Sum of the mixed blocks of each span, up to `_SHORT` of them: block by block over all spans that reach so far."""
+    salts = _salt(np.arange(_SHORT), seed)
+    out = np.zeros(len(begin), np.uint64)
+    some = np.flatnonzero(size > 0)
+    for k in range(_SHORT):
+        if not len(some):
+            break
+        left = size[some] - 8 * k
+        out[some] += mix(eights[begin[some] + 8 * k] & _LOW_BYTES[np.minimum(left, 8)] ^ salts[k])
+        some = some[left > 8]
+    return out
+
+
+def _all_blocks(eights: np.ndarray, begin: np.ndarray, size: np.ndarray, seed: int) -> np.ndarray:
+    """Sum of the mixed blocks of each span, of any length."""
     blocks = (size + 7) >> 3
     until = np.cumsum(blocks)
     out = np.zeros(len(begin), np.uint64)
@@ -69,12 +100,12 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: in
             number = k + np.arange(int(count.sum())) - np.repeat(first, count)
             left = np.repeat(size[i:j], count) - 8 * number
             block = eights[np.repeat(begin[i:j], count) + 8 * number] & _LOW_BYTES[np.minimum(left, 8)]
-            block = mix(block ^ mix(number.astype(np.uint64) * np.uint64(_ODD) + np.uint64((seed * _ODD + 1) & _ALL)))
+            block = mix(block ^ _salt(number, seed))
             some = np.flatnonzero(count)
             if len(some):
                 out[i + some] += np.add.reduceat(block, first[some])
         i = j
-    return mix(out + size.astype(np.uint64) * np.uint64(_ODD))
+    return out
 
 
 @dataclass
@@ -128,8 +159,9 @@ def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def words(column: pa.Array, inside: np.ndarray = IS_SPACED_WORD) -> Words:
     """Lower-cased (A-Z) words of each text, as runs of the bytes that `inside` marks."""
     data, offsets = string_buffers(column)
-    data = LOWER[data]
-    starts, ends = spans(inside[data], offsets)
+    data = data | ((data - np.uint8(0x41) < 26).view(np.uint8) << 5)
+    marked = np.frombuffer(data.tobytes().translate(inside.tobytes()), bool)
+    starts, ends = spans(marked, offsets)
     return Words(data, starts, ends, np.searchsorted(starts, offsets))
 
 

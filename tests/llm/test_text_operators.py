@@ -107,6 +107,48 @@ def test_lines_with_many_near_copies(spark, monkeypatch, piece, enough):
     assert {d: without(t, d, gone) for d, t in rows} == found
 
 
+def test_lines_of_many_words(spark, monkeypatch):
+    """Unrelated long lines that share rare words are told apart before their word sets are moved; near copies go."""
+    rng = random.Random(11)
+    vocabulary = [f"v{k}" for k in range(3000)]
+    rows = [(doc, " ".join(rng.sample(vocabulary, 150))) for doc in range(300)]
+    for doc in range(300, 360):  # sizes on both sides of what has the larger bitmap
+        line = rows[doc - 300][1].split()[: rng.randint(55, 80)]
+        near = line[: len(line) - rng.randint(0, 12)] + [f"z{rng.random()}" for _ in range(rng.randint(0, 8))]
+        rows.append((doc, "\n".join([" ".join(line), " ".join(near)])))
+    verified, moved = op2_lines._verified, []
+
+    def counted(pairs, *others):
+        moved.append(pairs.count())
+        return verified(pairs, *others)
+
+    monkeypatch.setattr(op2_lines, "_verified", counted)
+    gone = similar_lines(rows)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.text for r in op2_lines.dedup_lines(frame).collect()}
+    assert {d: without(t, d, gone) for d, t in rows} == found and 10 < len(gone) < 60
+    assert sum(moved) < 200
+
+
+def test_hashes_of_short_and_long_spans():
+    """A span's hash is the mixed sum of its mixed blocks, whichever way they are added up."""
+    import numpy as np
+
+    from llm import text
+
+    full = (1 << 64) - 1
+    mixed = lambda number: int(text.mix(np.array([number & full], np.uint64))[0])
+    data = np.random.default_rng(5).integers(0, 256, 4000).astype(np.uint8)
+    starts = np.arange(0, 3000, 29)
+    ends = starts + np.arange(len(starts)) % 90 * 2
+    for seed in (0, 3):
+        for start, end, found in zip(starts, ends, text.span_hashes(data, starts, ends, seed)):
+            blocks = [bytes(data[b : min(b + 8, end)]) for b in range(start, end, 8)]
+            salts = [mixed(k * text._ODD + seed * text._ODD + 1) for k in range(len(blocks))]
+            total = sum(mixed(int.from_bytes(b, "little") ^ salt) for b, salt in zip(blocks, salts))
+            assert int(found) == mixed(total + int(end - start) * text._ODD)
+
+
 def test_lines_odd_rows(odd):
     out = op2_lines.dedup_lines(odd)
     assert out.columns == odd.columns and out.count() == odd.count()
