@@ -508,6 +508,7 @@ def _line_bucket(place):
 def _only(lines: DataFrame, open_: DataFrame) -> DataFrame:
     """The signed lines, reduced to the prefix words that a line of `open_` has too."""
     same = F.col("l.doc").eqNullSafe(F.col("o.doc")) & (F.col("l.place") == F.col("o.place"))
+    lines = lines.where("digest IS NOT NULL")
     theirs = lines.alias("l").join(open_.alias("o"), same, "left_semi").select("token")
 
     def each(batches):
@@ -528,7 +529,7 @@ def _only(lines: DataFrame, open_: DataFrame) -> DataFrame:
             out = pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
             yield out.filter(pa.array(counts > 0))
 
-    return lines.where("digest IS NOT NULL").mapInArrow(run, lines.schema)
+    return lines.mapInArrow(run, lines.schema)
 
 
 def _sets(docs: DataFrame, doc: str, text: str, mark: str, wanted) -> DataFrame:
