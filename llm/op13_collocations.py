@@ -30,11 +30,14 @@ LONGEST = 4
 ABSORBED_PERCENT = 80
 TOP = 2000
 UNKNOWN = "und"
-#: Text bytes that a task takes apart at a time, and distinct n-grams that it sums up before it sends them.
-BATCH_BYTES = 4 << 20
-LOCAL_GRAMS = 2 << 20
-#: Hash partitions whose counters make one Arrow batch.
-SENT_TOGETHER = 64
+#: Text bytes that a task takes apart at a time: in the first pass, where every n-gram of them is at hand, and in the second.
+HASHED_BYTES = 1 << 20
+BATCH_BYTES = 2 << 20
+#: Distinct n-grams that a task sums up before it sends them.
+LOCAL_GRAMS = 1 << 20
+#: Counters that make one row, and one Arrow batch.
+ROW_GRAMS = 1 << 16
+SENT_TOGETHER = 1 << 18
 #: Upper bound of the mass (n-gram occurrences) of one hash partition, as far as hashing is even.
 PARTITION_MASS = 1 << 24
 #: Capacity of a summary as a multiple of mass / threshold.
@@ -86,10 +89,15 @@ def part_and_key(hashes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray
 
 
 def sum_up(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order and their total counts."""
-    key, count = np.concatenate(keys), np.concatenate(counts)
+    """Distinct keys in order and their total counts. Empties both lists: no array stays longer than it is needed."""
+    key = np.concatenate(keys)
+    keys.clear()
     order = np.argsort(key, kind="stable")
-    key, count = key[order], count[order]
+    key = key[order]
+    count = np.concatenate(counts)
+    counts.clear()
+    count = count[order]
+    del order
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
     return key[first], np.add.reduceat(count, first) if len(first) else count
 
@@ -110,9 +118,10 @@ class Summary:
             self.settle()
 
     def settle(self) -> None:
-        both = [(self.key, self.count), *self.waiting]
-        self.key, self.count = sum_up([b[0] for b in both], [b[1] for b in both])
+        keys, counts = map(list, zip((self.key, self.count), *self.waiting))
         self.waiting, self.size = [], 0
+        self.key = self.count = None
+        self.key, self.count = sum_up(keys, counts)
         over = len(self.count) - self.capacity
         if over > 0:
             most = np.partition(self.count, over - 1)[over - 1]
@@ -131,35 +140,40 @@ def _summaries(docs: DataFrame, parts: int) -> DataFrame:
     """Rows by hash partition: `kind` 0 has the mass of a task's share, `kind` 1 its counters."""
 
     def send(key, count):
-        part, low = part_and_key(key, parts)
-        numbers, starts = np.unique(part, return_index=True)
-        mass = np.add.reduceat(count, starts) if len(starts) else count
-        small = np.minimum(count, 255).astype(np.uint8)
-        ends = np.append(starts[1:], len(key))
-        for k in range(0, len(numbers), SENT_TOGETHER):
-            some = slice(k, k + SENT_TOGETHER)
-            number, cuts = numbers[some], list(zip(starts[some].tolist(), ends[some].tolist()))
-            none = pa.nulls(len(number), pa.binary())
-            yield _rows(number, 0, mass[some], none, none, none)
+        for k in range(0, len(key), SENT_TOGETHER):
+            some = count[k : k + SENT_TOGETHER]
+            part, low = part_and_key(key[k : k + SENT_TOGETHER], parts)
+            begins = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+            none = pa.nulls(len(begins), pa.binary())
+            yield _rows(part[begins], 0, np.add.reduceat(some, begins), none, none, none)
+            # long rows are cut: a row is an object of its own on the other side
+            starts = np.union1d(begins, np.arange(0, len(part), ROW_GRAMS))
+            cuts = list(zip(starts.tolist(), [*starts[1:].tolist(), len(part)]))
+            small = np.minimum(some, 255).astype(np.uint8)
             yield _rows(
-                number,
+                part[starts],
                 1,
-                np.zeros(len(number), np.int64),
+                np.zeros(len(starts), np.int64),
                 pa.array([low[s:e].tobytes() for s, e in cuts], pa.binary()),
                 pa.array([small[s:e].tobytes() for s, e in cuts], pa.binary()),
-                pa.array([count[s:e][small[s:e] == 255].tobytes() for s, e in cuts], pa.binary()),
+                pa.array([some[s:e][small[s:e] == 255].tobytes() for s, e in cuts], pa.binary()),
             )
 
+    def grams(rows):
+        """Distinct hashes of all n-grams of some texts, and how often they occur."""
+        found, piece = pieces(rows.column("text"))
+        hashes, inside = gram_hashes(found, piece, *languages(rows.column("lang")))
+        return np.unique(np.concatenate([h[i] for h, i in zip(hashes, inside)]), return_counts=True)
+
     def run(batches):
         keys, counts, size = [], [], 0
         for batch in batches:
-            for part in weigh([batch], "text", BATCH_BYTES):
-                found, piece = pieces(part.column("text"))
-                hashes, inside = gram_hashes(found, piece, *languages(part.column("lang")))
-                key, count = np.unique(np.concatenate([h[i] for h, i in zip(hashes, inside)]), return_counts=True)
+            for part in weigh([batch], "text", HASHED_BYTES):
+                key, count = grams(part)
                 keys.append(key)
-                counts.append(count.astype(np.int64))
+                counts.append(count.astype(np.int64, copy=False))
                 size += len(key)
+                del key, count
                 if size > LOCAL_GRAMS:
                     key, count = sum_up(keys, counts)
                     keys, counts, size = [key], [count], len(key)
@@ -181,7 +195,8 @@ def _rows(part, kind, mass, keys, small, big) -> pa.RecordBatch:
 
 def surviving(docs: DataFrame, parts: int, threshold: int) -> DataFrame:
     """`id` of every n-gram hash that may occur `threshold` times: partition and key in one long. Others may survive too."""
-    dealt = _summaries(docs, parts).repartition("part").sortWithinPartitions("part", "kind")
+    # a hash partition for each task: all that a task reads may reach Python as one Arrow batch
+    dealt = _summaries(docs, parts).repartitionById(parts, F.col("part").cast("int")).sortWithinPartitions("part", "kind")
 
     def run(batches):
         number, mass, summary = None, 0, None
@@ -191,18 +206,20 @@ def surviving(docs: DataFrame, parts: int, threshold: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array((number << 32) | key)], names=["id"])
 
         for batch in batches:
-            for row in batch.to_pylist():
-                if row["part"] != number:
+            plain = zip(*(batch.column(name).to_pylist() for name in ("part", "kind", "mass")))
+            keys, smalls, bigs = (batch.column(name) for name in ("keys", "small", "big"))
+            for i, (part, kind, share) in enumerate(plain):
+                if part != number:
                     if number is not None:
                         yield close()
-                    number, mass, summary = row["part"], 0, None
-                if row["kind"] == 0:
-                    mass += row["mass"]
+                    number, mass, summary = part, 0, None
+                if kind == 0:
+                    mass += share
                     continue
                 summary = summary or Summary(SLACK * mass // threshold + 1)
-                count = np.frombuffer(row["small"], np.uint8).astype(np.int64)
-                count[count == 255] = np.frombuffer(row["big"], np.int64)
-                summary.merge(np.frombuffer(row["keys"], np.uint32), count)
+                count = np.frombuffer(smalls[i].as_buffer(), np.uint8).astype(np.int64)
+                count[count == 255] = np.frombuffer(bigs[i].as_buffer(), np.int64)
+                summary.merge(np.frombuffer(keys[i].as_buffer(), np.uint32), count)
         if number is not None:
             yield close()
 
